@@ -7,7 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import decontaminate
+from shoal.llm import decontaminate, quality_rules
+from shoal.llm.storage import stored
 from shoal.llm.tables import table
 
 
@@ -15,5 +16,11 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
 
 
+def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
+    counted = stored(quality_rules.measures(table(spark, sf, "documents"), keep=["doc_id"]))
+    chosen = quality_rules.cutoffs(counted, table(spark, sf, "labels"))
+    return quality_rules.judged(counted, chosen).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}
