@@ -161,13 +161,15 @@ def cutoffs(counted: DataFrame, labels: DataFrame, *, doc: str = "doc_id", label
 
 
 def judged(counted: DataFrame, chosen: DataFrame, *, bands: list[int] | None = None, grid: dict[str, list[float]] | None = None) -> DataFrame:
-    """Adds ``kept`` to the counts: false if ``base_failed`` or if a measure reaches its stratum's cutoff. ``chosen`` has a row for each band and rule at most."""
+    """Adds ``kept`` to the counts: false if ``base_failed`` or if a measure reaches its stratum's cutoff.
+
+    ``chosen`` has a row for each band and rule at most; those few rows are read by the driver and become part of the expression.
+    """
     bands, grid = bands or BANDS, grid or GRID
+    found = {(r["stratum"], r["rule"]): r["cutoff"] for r in chosen.select("stratum", "rule", "cutoff").collect()}
     measured = rule_measures()
-    band = chosen.groupBy("stratum").pivot("rule", list(grid)).agg(F.first("cutoff"))
-    band = F.broadcast(band.select(F.col("stratum").alias("band of lengths"), *[F.col(r).alias(f"cutoff of {r}") for r in grid]))  # len(bands) + 1 rows at most
-    failed = F.lit(False)
+    failed = F.col("base_failed")
     for rule in grid:
-        failed = failed | F.coalesce(measured[rule] >= F.col(f"cutoff of {rule}"), F.lit(False))
-    joined = counted.join(band, stratum(bands) == F.col("band of lengths"), "left")
-    return joined.select(*[F.col(f"`{c}`") for c in counted.columns if c != "kept"], (~(F.col("base_failed") | failed)).alias("kept"))
+        at = F.array(*[F.lit(found.get((b, rule))).cast("double") for b in range(len(bands) + 1)])
+        failed = failed | F.coalesce(measured[rule] >= F.get(at, stratum(bands)), F.lit(False))
+    return counted.select(*[F.col(f"`{c}`") for c in counted.columns if c != "kept"], (~failed).alias("kept"))
