@@ -117,24 +117,29 @@ def log_factorial(x: Column) -> Column:
 
 def binomial_tail(k: Column, n: Column, p: float) -> Column:
     """P(Bin(n, p) <= k), summed downward from k until terms no longer count in a double; 1 where k is n p or more."""
-    k, n = k.cast("double"), n.cast("double")
-    head = log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * math.log(p) + (n - k) * math.log1p(-p)
-    steps = F.least(k, F.ceil(9 * F.sqrt(n * p)) + 50).cast("int")
-    start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
 
-    def add(s: Column, i: Column) -> Column:
-        j = k - i + 1
-        term = s["term"] * j * (1 - p) / ((n - j + 1) * p)
-        return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
+    def tail(x: Column) -> Column:
+        k, n, steps = x["k"], x["n"], x["steps"]
+        head = log_factorial(n) - log_factorial(k) - log_factorial(n - k) + k * math.log(p) + (n - k) * math.log1p(-p)
+        start = F.struct(F.lit(1.0).alias("term"), F.lit(1.0).alias("total"))
+
+        def add(s: Column, i: Column) -> Column:
+            j = k - i + 1
+            term = s["term"] * j * (1 - p) / ((n - j + 1) * p)
+            return F.struct(term.alias("term"), (s["total"] + term).alias("total"))
 
-    total = F.when(steps < 1, F.lit(1.0)).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), start, add, lambda s: s["total"]))
-    return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(head) * total)
+        total = F.when(steps < 1, F.lit(1.0)).otherwise(F.aggregate(F.sequence(F.lit(1), F.greatest(steps, F.lit(1))), start, add, lambda s: s["total"]))
+        return F.when(k >= n * p, F.lit(1.0)).otherwise(F.exp(head) * total)
+
+    k, n = k.cast("double"), n.cast("double")
+    steps = F.least(k, F.ceil(9 * F.sqrt(n * p)) + 50).cast("int")
+    return let(F.struct(k.alias("k"), n.alias("n"), steps.alias("steps")), tail)
 
 
 def cutoffs(counted: DataFrame, labels: DataFrame, *, doc: str = "doc_id", label: str = "quality", risk: float = RISK, delta: float = DELTA, bands: list[int] | None = None, grid: dict[str, list[float]] | None = None) -> DataFrame:
     """A row for each stratum and rule with a certified cutoff: ``stratum``, ``rule``, ``cutoff``, ``n_good``, ``good_rejected``, ``bad_rejected``, ``tail``.
 
-    ``counted`` is what ``measures`` returns. A document with several labels counts as good if one says so; rows that ``base_failed`` aren't
+    ``counted`` is what ``measures`` returns, stored (else each rule counts anew). A document with several labels counts as good if one says so; rows that ``base_failed`` aren't
     part of the holdout. Null labels don't count. Without labels, or with too few for a certificate, there are no rows.
     """
     bands, grid = bands or BANDS, grid or GRID
