@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import decontaminate, quality_rules
+from shoal.llm import decontaminate, quality_rules, secrets
 from shoal.llm.storage import stored
 from shoal.llm.tables import table
 
@@ -16,6 +16,10 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
 
 
+def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
+    return secrets.scan(table(spark, sf, "documents"), keep=["doc_id"])
+
+
 def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     counted = stored(quality_rules.measures(table(spark, sf, "documents"), keep=["doc_id"]))
     chosen = quality_rules.cutoffs(counted, table(spark, sf, "labels"))

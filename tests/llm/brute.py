@@ -44,3 +44,14 @@ def rule_counts(text):
     repeated = {i + j for i, g in enumerate(grams) if count[g] > 1 for j in range(3)}
     lines = [x for x in text.split("\n") if WORD.search(x)]
     return len(w), sum(map(len, w)), sum(c in "#*$%&|<>" for c in text), len(lines) - len(set(lines)), len(repeated), len(w) < 50 or 100 * len(repeated) > 50 * len(w)
+
+
+def base_secrets(text):
+    """(n_assign, n_access, n_hex, base_sha256)."""
+    text, found = text or "", []
+    assign = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.ASCII)
+    found += [(m.start(), 0, m.end()) for m in assign.finditer(text) if len(m[2]) >= 12]
+    found += [(m.start(), 1, m.end()) for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 18]
+    found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
+    names = ("assign", "access", "hex")
+    return *[sum(k == i for _, k, _ in found) for i in range(3)], sha(",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(found)))
