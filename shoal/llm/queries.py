@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import decontaminate, quality_rules, secrets
-from shoal.llm.storage import stored
+from shoal.llm import decontaminate, quality_rules, secrets, warc
+from shoal.llm.storage import shared_folder, stored
 from shoal.llm.tables import table
 
 
@@ -16,6 +16,12 @@ def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
 
 
+def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
+    path = shared_folder(spark)
+    warc.write(table(spark, sf, "pages"), path)
+    return warc.page_records(warc.read(spark, path, payload=False))
+
+
 def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"), keep=["doc_id"])
 
