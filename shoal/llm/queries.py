@@ -4,14 +4,36 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import decontaminate, quality_rules, secrets, warc
+from shoal.llm import decontaminate, language, quality_model, quality_rules, secrets, warc
 from shoal.llm.storage import shared_folder, stored
 from shoal.llm.tables import table
 
 
+def remainder(n: int) -> Column:
+    """Of the crc32 of doc_id as text; it deals documents to folds."""
+    return F.crc32(F.col("doc_id").cast("string")) % n
+
+
+def op1_language_id(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    model = language.train(language.sample(docs, doc="doc_id", text="text", lang="lang", where=remainder(4) != 2))
+    out = language.identify(docs, model, keep=["doc_id"])
+    return out.select("doc_id", (remainder(4) == 2).alias("held_out"), "lang_pred", "score", "phrases")
+
+
+def quality(spark: SparkSession, sf: str, docs: DataFrame) -> quality_model.Model:
+    return quality_model.train(*quality_model.labelled(docs, table(spark, sf, "labels"), where=remainder(5) != 0))
+
+
+def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
+    docs = table(spark, sf, "documents")
+    out = quality_model.score(docs, quality(spark, sf, docs), keep=["doc_id"])
+    return out.select("doc_id", (remainder(5) == 0).alias("held_out"), "score", "predicted")
+
+
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     return decontaminate.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
 
