@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import decontaminate, language, quality_model, quality_rules, secrets, warc
+from shoal.llm import decontaminate, language, quality_model, quality_rules, secrets, similarity, warc
 from shoal.llm.storage import shared_folder, stored
 from shoal.llm.tables import table
 
@@ -54,5 +54,9 @@ def op9_quality_rules(spark: SparkSession, sf: str) -> DataFrame:
     return quality_rules.judged(counted, chosen).select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op10_similarity_join(spark: SparkSession, sf: str) -> DataFrame:
+    return similarity.similar(table(spark, sf, "documents"))
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {name: f for name, f in globals().items() if name.startswith("op") and callable(f)}

@@ -55,3 +55,32 @@ def base_secrets(text):
     found += [(m.start(), 2, m.end()) for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 16]
     names = ("assign", "access", "hex")
     return *[sum(k == i for _, k, _ in found) for i in range(3)], sha(",".join(f"{names[k]}:{a}:{b}" for a, k, b in sorted(found)))
+
+
+def shingles(text, width=5):
+    w = WORD.findall((text or "").translate(LOWER))
+    return {tuple(w[i : i + width]) for i in range(max(1, len(w) - width + 1))} if w else set()
+
+
+def similar(docs, width=5):
+    """{doc: (n_shingles, component_id)} by comparing all documents that share a shingle."""
+    sets = {d: shingles(t, width) for d, t in docs}
+    where: dict[tuple, list] = {}
+    for d, s in sets.items():
+        for g in s:
+            where.setdefault(g, []).append(d)
+    parent = {d: d for d in sets}
+
+    def find(x):
+        while parent[x] != x:
+            parent[x] = parent[parent[x]]
+            x = parent[x]
+        return x
+
+    for d, s in sets.items():
+        both = Counter(e for g in s for e in where[g] if e < d)
+        for e, n in both.items():
+            if 100 * n >= 75 * (len(s) + len(sets[e]) - n):
+                a, b = sorted((find(d), find(e)))
+                parent[b] = a
+    return {d: (len(s), find(d)) for d, s in sets.items()}
