@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import decontaminate, language, quality_model, quality_rules, secrets, similarity, warc
+from shoal.llm import bpe, decontaminate, language, quality_model, quality_rules, secrets, similarity, warc
 from shoal.llm.storage import shared_folder, stored
 from shoal.llm.tables import table
 
@@ -44,6 +45,11 @@ def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
     return warc.page_records(warc.read(spark, path, payload=False))
 
 
+def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    return bpe.digests(bpe.encode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN), ranks)
+
+
 def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"), keep=["doc_id"])
 
