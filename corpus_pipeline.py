@@ -1,10 +1,56 @@
-"""The corpus pipeline."""
+"""The corpus pipeline: quality, near duplicates, benchmark passages, secrets, tokens.
+
+Each stage takes the documents that its predecessor kept, and all but the last return the columns of ``documents``.
+"""
+
 from __future__ import annotations
 
-STAGES = []
+import public_tokenizers
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from shoal.llm import bpe, decontaminate, queries, quality_model, secrets, similarity
+from shoal.llm.storage import stored
+from shoal.llm.tables import table
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the classifier, learned from the labelled ones outside the held-out fold, accepts."""
+    return quality_model.accept(docs, queries.quality(spark, sf_dir, docs))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the least id, of each group of near copies."""
+    return similarity.first_of_each(docs).select(docs.columns)
+
+
+def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a notable share of benchmark passages."""
+    return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+
+
+def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, their secrets replaced by a mark, and their lengths as they are then."""
+    return secrets.redact(docs).withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(docs.columns)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of each text, and a digest of the bytes that they decode to."""
+    ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
+    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    decoded = bpe.decode(encoded, ranks)
+    return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
+
+
+STAGES = [("quality", quality), ("near_duplicates", near_duplicates), ("benchmark", benchmark), ("secrets", secret), ("tokens", tokens)]
+
+#: The stages learn a model and compare sets of n-grams, which SQL can't express; tests/llm compares them with plain versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    return docs
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents, each stored before the next reads it."""
+    docs = table(spark, sf_dir, "documents")
+    for _, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

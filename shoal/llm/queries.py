@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import bpe, decontaminate, language, quality_model, quality_rules, secrets, similarity, warc
+from shoal.llm import bpe, decontaminate, language, quality_model, quality_rules, secrets, similarity, token_counts, warc
 from shoal.llm.storage import shared_folder, stored
 from shoal.llm.tables import table
 
@@ -50,6 +50,11 @@ def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
     return bpe.digests(bpe.encode(table(spark, sf, "documents"), ranks, public_tokenizers.PATTERN), ranks)
 
 
+def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
+    scores = token_counts.zipf_scores(bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")))
+    return token_counts.token_counts(table(spark, sf, "documents"), scores, public_tokenizers.PATTERN)
+
+
 def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"), keep=["doc_id"])
 
