@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shoal.llm import bpe, decontaminate, language, quality_model, quality_rules, secrets, similarity, token_counts, warc
+from shoal.llm import bpe, decontaminate, language, licenses, quality_model, quality_rules, secrets, similarity, token_counts, warc
 from shoal.llm.storage import shared_folder, stored
 from shoal.llm.tables import table
 
@@ -55,6 +55,13 @@ def op6_token_counts(spark: SparkSession, sf: str) -> DataFrame:
     return token_counts.token_counts(table(spark, sf, "documents"), scores, public_tokenizers.PATTERN)
 
 
+def op7_license_scan(spark: SparkSession, sf: str) -> DataFrame:
+    """The documents have no paths; source, language and id make one."""
+    docs = table(spark, sf, "documents")
+    path = F.concat_ws("/", F.col("source"), F.col("lang"), F.concat(F.lit("doc-"), F.col("doc_id").cast("string"), F.lit(".txt")))
+    return licenses.scan(docs.withColumn("path", path), keep=["doc_id"])
+
+
 def op8_secret_scan(spark: SparkSession, sf: str) -> DataFrame:
     return secrets.scan(table(spark, sf, "documents"), keep=["doc_id"])
 
