@@ -36,13 +36,13 @@ def op2_quality(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def op3_decontamination(spark: SparkSession, sf: str) -> DataFrame:
-    return decontaminate.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"])
+    return decontaminate.scan(table(spark, sf, "documents"), table(spark, sf, "benchmark"), keep=["doc_id"]).drop("longest_match", "longest_at")
 
 
 def op4_warc(spark: SparkSession, sf: str) -> DataFrame:
     path = shared_folder(spark)
     warc.write(table(spark, sf, "pages"), path)
-    return warc.page_records(warc.read(spark, path, payload=False))
+    return warc.page_records(warc.read(spark, path, payload=False)).drop("intact")
 
 
 def op5_bpe(spark: SparkSession, sf: str) -> DataFrame:
