@@ -2,18 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from shoal.plans import objects, rules  # noqa: F401  their queries register themselves
+from shoal.plans.core import Query, registered
 
-from pyspark.sql import DataFrame, SparkSession
 
-
-def _lineitem(spark: SparkSession, sf: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/lineitem.parquet").where("l_quantity >= 40").select("l_orderkey", "l_linenumber", "l_quantity")
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"select_parquet": _lineitem}
+def queries() -> dict[str, Query]:
+    return {name: f for name, (f, _) in registered().items()}
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"select_parquet": "select l_orderkey, l_linenumber, l_quantity from lineitem where l_quantity >= 40"}
+    return {name: sql for name, (_, sql) in registered().items() if sql}
