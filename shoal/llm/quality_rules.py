@@ -153,7 +153,9 @@ def cutoffs(counted: DataFrame, labels: DataFrame, *, doc: str = "doc_id", label
     # levels of a rule are as many as its cutoffs, so these rows are few and small
     sizes = F.array(*[F.lit(len(c)) for c in grid.values()])
     names, values = F.array(*[F.lit(r) for r in grid]), F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in grid.values()])
-    least = lambda field: F.aggregate(F.filter(F.map_entries("m"), lambda e: e["key"] >= F.col("step")), F.lit(0).cast("bigint"), lambda t, e: t + e["value"][field])
+    # a measure passes the strict cutoffs first: it reaches that of a step if it passes as many as there are from there to the end
+    needed = F.get(sizes, F.col("rule")) - F.col("step") + 1
+    least = lambda field: F.aggregate(F.filter(F.map_entries("m"), lambda e: e["key"] >= needed), F.lit(0).cast("bigint"), lambda t, e: t + e["value"][field])
     steps = totals.withColumn("step", F.explode(F.sequence(F.lit(1), F.get(sizes, F.col("rule"))))).withColumns({"good_rejected": least("g"), "bad_rejected": least("b")})
     steps = steps.withColumn("tail", binomial_tail(F.col("good_rejected"), F.col("n_good"), risk))
     test = F.col("tail") <= delta / (len(grid) * (len(bands) + 1))

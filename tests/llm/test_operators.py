@@ -345,3 +345,21 @@ def test_license_bound_is_exact(spark, sf):
 
 def test_stored(spark):
     assert stored(spark.range(5)).count() == 5
+
+
+def test_rule_verdicts_match_sql(spark, monkeypatch):
+    """With a risk that the middle tables' labels can certify, so that there are cutoffs."""
+    import duckdb
+
+    from shoal.llm import oracles
+
+    sf = "/root/testdata/sf0.1"
+    monkeypatch.setattr(quality_rules, "RISK", 0.05)
+    con = duckdb.connect()
+    for t in ("documents", "labels"):
+        con.execute(f"create view {t} as select * from '{sf}/{t}.parquet'")
+    want = dict(con.execute(f"select doc_id, kept from ({oracles.quality()})").fetchall())
+    counted = stored(quality_rules.measures(spark.read.parquet(f"{sf}/documents.parquet"), keep=["doc_id"]))
+    chosen = stored(quality_rules.cutoffs(counted, spark.read.parquet(f"{sf}/labels.parquet"), risk=0.05))
+    assert chosen.count() >= 4 and chosen.where("good_rejected > 0.05 * n_good").isEmpty()
+    assert {r.doc_id: r.kept for r in quality_rules.judged(counted, chosen).collect()} == want
