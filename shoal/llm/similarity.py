@@ -10,7 +10,8 @@
    enumerated and list entries scanned is least.
 4. Members of a list are compared with its leader first.  Then only pairs that no chain of links joins yet are
    compared, first with another leader, then all that are left.  So a list of many near copies costs about as many comparisons as it has members,
-   and no link between components is lost.
+   and no link between components is lost.  Before sets are compared, parity sketches tell how many n-grams they differ in at least:
+   what both have cancels out, so the bound is near the truth, and pairs that can't link aren't made.
 
 Comparisons are exact (on hashes) and run in chunks of a bounded number of sets around a leader.
 """
@@ -38,6 +39,8 @@ WORDS, OVER, UNDER = 5, 3, 4  # words of an n-gram; linked from a similarity of
 BLOCK, CHUNK = 1_000_000, 256
 #: Largest set that may count as small.
 SMALL = 15
+#: Bits of a parity sketch.
+SKETCH = 512
 #: Bits of the filter that keeps most other texts from a join.
 FILTER_BITS = 1 << 23
 
@@ -229,7 +232,11 @@ def sets_of(df: DataFrame, chosen: DataFrame, *, doc: str, text: str, width: int
 
 
 def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
-    """(rep, n, keys, scans, small): the rarest shared n-grams of each set, as many as must hold a common one, the sets that have them, and all shared ones of a small set."""
+    """(rep, n, rank, sketch, keys, scans, small) of each set that may link.
+
+    ``keys``: its rarest shared n-grams, as many as must hold a common one; ``scans``: the sets that have them; ``small``: all shared ones of a small set;
+    ``sketch``: by bit, whether an odd number of its n-grams fall there; ``rank``: how many sets share its n-grams on the whole, which is most at the centre of a group of near copies.
+    """
 
     def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
@@ -269,12 +276,13 @@ def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
             rank = np.lexsort((g, c))[: n - least_overlap(n) + 1]
             rank = rank[c[rank] > 1]
             if len(rank):
-                rows.append((rep, n, g[rank].view(np.int64), c[rank].astype(np.int64), g[c > 1].view(np.int64) if n <= SMALL else None))
-        kinds = (pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()))
+                sketch = np.packbits(np.bincount((g & np.uint64(SKETCH - 1)).astype(np.int64), minlength=SKETCH) & 1).view(np.int64)
+                rows.append((rep, n, int(1000 * c.mean()), sketch, g[rank].view(np.int64), c[rank].astype(np.int64), g[c > 1].view(np.int64) if n <= SMALL else None))
+        kinds = (pa.int64(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()), pa.list_(pa.int64()))
         columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
-        return pa.table([pa.array(c, t) for c, t in zip(map(list, columns), kinds, strict=True)], names=["rep", "n", "keys", "scans", "small"])
+        return pa.table([pa.array(c, t) for c, t in zip(map(list, columns), kinds, strict=True)], names=["rep", "n", "rank", "sketch", "keys", "scans", "small"])
 
-    return _frequencies(sets.select("rep", "grams").mapInArrow(out, _ROW_SQL), True).applyInArrow(back, "rep bigint, n bigint, keys array<bigint>, scans array<bigint>, small array<bigint>")
+    return _frequencies(sets.select("rep", "grams").mapInArrow(out, _ROW_SQL), True).applyInArrow(back, "rep bigint, n bigint, rank bigint, sketch array<bigint>, keys array<bigint>, scans array<bigint>, small array<bigint>")
 
 
 def subsets_of(n: int, boundary: int) -> int:
@@ -295,21 +303,22 @@ def boundary(found: DataFrame) -> int:
 
 
 def postings(found: DataFrame, limit: int) -> DataFrame:
-    """(key, rep, n): list entries of large sets, and of small ones that may link with large ones; subsets of small sets."""
-    large = found.where(F.col("n") >= least_overlap(limit + 1)).select(F.explode("keys").alias("key"), "rep", "n")
+    """(key, rep, n, rank, sketch): list entries of large sets, and of small ones that may link with large ones; subsets of small sets."""
+    large = found.where(F.col("n") >= least_overlap(limit + 1)).select(F.explode("keys").alias("key"), "rep", "n", "rank", "sketch")
 
     def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = []
-            for rep, n, grams in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            keys, owner = [], []
+            for i, (n, grams) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
                 for b in range(n, limit + 1):
                     c = least_overlap(b)
                     for subset in itertools.combinations(sorted(grams), c) if c <= len(grams) else ():
-                        rows.append((int.from_bytes(hashlib.blake2b(repr((b, subset)).encode(), digest_size=8).digest(), "big", signed=True), rep, n))
-            columns = zip(*rows, strict=True) if rows else ([], [], [])
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["key", "rep", "n"])
+                        keys.append(int.from_bytes(hashlib.blake2b(repr((b, subset)).encode(), digest_size=8).digest(), "big", signed=True))
+                        owner.append(i)
+            at = pa.array(owner, pa.int64())
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[batch.column(k).take(at) for k in (0, 1, 3, 4)]], names=["key", "rep", "n", "rank", "sketch"])
 
-    light = found.where(F.col("n") <= limit).select("rep", "n", "small").mapInArrow(out, "key bigint, rep bigint, n bigint")
+    light = found.where(F.col("n") <= limit).select("rep", "n", "small", "rank", "sketch").mapInArrow(out, "key bigint, rep bigint, n bigint, rank bigint, sketch array<bigint>")
     return large.union(light)
 
 
@@ -341,29 +350,31 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def linked_components(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, label) of the sets that link, from their lists (key, rep, n)."""
-    fits = (OVER * F.col("x.n") <= UNDER * F.col("y.n")) & (OVER * F.col("y.n") <= UNDER * F.col("x.n"))
+    """(node, label) of the sets that link, from their lists (key, rep, n, rank, sketch)."""
+    differ = sum((F.bit_count(F.get("x.sketch", F.lit(i)).bitwiseXOR(F.get("y.sketch", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
+    # sets of n and m n-grams that link differ in (UNDER - OVER) / (UNDER + OVER) of n + m at most
+    fits = (OVER * F.col("x.n") <= UNDER * F.col("y.n")) & (OVER * F.col("y.n") <= UNDER * F.col("x.n")) & ((UNDER + OVER) * differ <= (UNDER - OVER) * (F.col("x.n") + F.col("y.n")))
+    central = F.max(F.struct("rank", (-F.col("rep")).alias("back"), "rep", "n", "label", "sketch"))
+    first = F.min(F.struct("rep", "n", "label", "sketch"))
     done = labels = None
-    for leader in (F.min, F.max, None):
+    for leader in (central, first, None):
         rows = lists.withColumn("label", F.col("rep")) if labels is None else lists.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        mixed_lists = rows.groupBy("key").agg(*([leader(F.struct("rep", "n", "label")).alias("x")] if leader else []), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        if leader:
-            pairs = rows.alias("y").join(mixed_lists.select("key", "x"), "key").where(F.col("x.label") != F.col("y.label"))
+        open_lists = rows.groupBy("key").agg(*([] if leader is None else [leader.alias("x")]), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
+        apart = F.col("x.label") != F.col("y.label")
+        if leader is None:
+            open_rows = rows.join(open_lists.select("key"), "key")
+            pairs = open_rows.alias("x").join(open_rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & apart & fits)
         else:
-            open_rows = rows.join(mixed_lists.select("key"), "key")
-            pairs = open_rows.alias("x").join(open_rows.alias("y"), "key").where((F.col("x.label") != F.col("y.label")) & (F.col("x.rep") < F.col("y.rep")))
-        pairs = pairs.where(fits).select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+            pairs = rows.alias("y").join(open_lists.select(F.col("key").alias("list"), "x"), (F.col("y.key") == F.col("list")) & apart & fits)
+        pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = stored(pairs)
         if pairs.isEmpty():
-            if leader:
-                continue
-            break
+            continue
         result = stored(compared(pairs, sets))
         done = result if done is None else done.union(result)
         labels = components(done.where("linked").select("a", "b"))
-        done = done.select("a", "b", "linked")
     return labels if labels is not None else lists.select(F.col("rep").alias("node"), F.col("rep").alias("label")).limit(0)
 
 
@@ -381,7 +392,7 @@ def similar(df: DataFrame, *, doc: str = "doc_id", text: str = "text", width: in
     classes = stored(known.groupBy("digest").agg(F.min("doc").alias("rep")))
     sets = stored(sets_of(df, classes.select("rep", "digest"), doc=doc, text=text, width=width))
     found = stored(prefixes(sets, buckets))
-    lists = stored(postings(found, boundary(found)))
+    lists = stored(postings(found, boundary(found)))  # sketches travel with their sets' list entries
     labels = linked_components(lists, sets)
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select("digest", F.coalesce("label", "rep").alias("component"))
     rest = seen.where("not candidate or doc is null").select("doc", "n", F.col("doc").alias("component"))
