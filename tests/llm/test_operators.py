@@ -8,7 +8,7 @@ import pytest
 import regex
 import tiktoken
 
-from shoal.llm import bpe, decontaminate, language, licenses, quality_model, quality_rules, queries, secrets, similarity, token_counts, warc
+from shoal.llm import bpe, decontaminate, language, licenses, quality_model, quality_rules, queries, sampling, secrets, similarity, token_counts, warc
 from shoal.llm.components import components
 from shoal.llm.storage import shared_folder, stored
 from tests.llm import brute
@@ -229,7 +229,16 @@ def texts_once(df):
 
 def test_trie_ties():
     scores = {b"a": -1.0, b"b": -1.0, b"ab": -2.0, b"abc": -9.0}
-    assert token_counts.count_tokens(["ab", "", "abc", "ab", "é"], scores) == [1, 0, 2, 1, 2]
+    words = ["ab", "", "abc", "ab", "é", "abab", "c"]
+    want = [1, 0, 1, 1, 2, 2, 1]  # the lone byte c costs more than the piece abc
+    assert token_counts.count_tokens(words, scores) == want == [brute.unigram_count(w.encode(), scores) for w in words]
+
+
+def test_hash_bound(spark):
+    ids = spark.range(200_000)
+    found = ids.where(F.xxhash64("id") <= sampling.hash_bound(400, 200_000)).count()
+    assert 400 <= found <= 900
+    assert ids.limit(50).where(F.xxhash64("id") <= sampling.hash_bound(400, 50)).count() == 50 and sampling.hash_bound(3, 0) == (1 << 63) - 1
 
 
 def test_language(spark, sf, docs):
