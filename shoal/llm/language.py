@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoal.llm.arrowtext import append_columns
+from shoal.llm.sampling import hash_bound
 
 #: Documents and characters of labelled text that are learned per language, and of one document.
 DOCUMENTS, CHARACTERS, SNIPPET = 300, 48_000, 400
@@ -107,16 +108,20 @@ def train(texts: dict[str, list[str]]) -> Model:
 
 
 def sample(df: DataFrame, *, doc: str, text: str, lang: str, where: Column, documents: int = DOCUMENTS, languages: int = LANGUAGES) -> dict[str, list[str]]:
-    """Labelled snippets: for each language those documents whose hashed ids are least, ``documents`` at most.
+    """Labelled snippets: for each language those documents whose hashed ids are least, ``documents`` at most (fewer where rows of one id are many).
 
-    Texts aren't shuffled: ids are chosen first, by partial aggregation, and then their texts are read.
+    Texts aren't shuffled: ids are chosen first, and then their texts are read. Only ids below a bound on their hashes, that follows from
+    the language's number of rows, are shuffled: some hundred a language at any size.
     """
     from pyspark.sql import Window
 
-    rows = df.where(where & F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{doc}`").alias("d"), F.col(f"`{lang}`").cast("string").alias("l")).distinct()
-    named = [r["l"] for r in rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(languages).collect()]
+    rows = df.where(where & F.col(f"`{lang}`").isNotNull()).select(F.col(f"`{doc}`").alias("d"), F.col(f"`{lang}`").cast("string").alias("l")).where("d is not null")
+    counted = rows.groupBy("l").count().orderBy(F.desc("count"), "l").limit(languages).collect()  # ``languages`` rows at most
+    low = F.lit(False)
+    for r in counted:
+        low = low | ((F.col("l") == r["l"]) & (F.xxhash64("d") <= hash_bound(documents, r["count"])))
     order = Window.partitionBy("l").orderBy(F.xxhash64("d"), "d")
-    chosen = rows.where(F.col("l").isin(named)).withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents).select("d", "l").dropna()
+    chosen = rows.where(low).distinct().withColumn("n", F.row_number().over(order)).where(F.col("n") <= documents).select("d", "l")
     # at most documents x languages ids
     ids = F.broadcast(chosen)
     own = df.select(F.col(f"`{doc}`").alias("d"), F.col(f"`{lang}`").cast("string").alias("l"), F.col(f"`{text}`").alias("t"))

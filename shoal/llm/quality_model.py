@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from shoal.llm.arrowtext import NOT_SPACE, append_columns, mixed, text_bytes, word_hashes, word_spans
+from shoal.llm.sampling import hash_bound
 
 #: Labelled rows that are learned from, at most: those whose hashed ids are least.
 SAMPLE = 20_000
@@ -211,7 +212,8 @@ def labelled(df: DataFrame, labels: DataFrame, *, doc: str = "doc_id", text: str
     """Features and labels of a bounded sample of the labelled rows. Of several labels of a document the largest counts; null ones don't."""
     marks = labels.select(F.col(f"`{doc}`").alias(doc), F.col(f"`{label}`").cast("int").alias("y")).dropna()
     marks = (marks if where is None else marks.where(where)).groupBy(doc).agg(F.max("y").alias("y"))
-    chosen = F.broadcast(marks.orderBy(F.xxhash64(doc), doc).limit(most))  # so many ids at most
+    near = marks.where(F.xxhash64(doc) <= hash_bound(most, marks.count()))  # else each task would send ``most`` rows to one
+    chosen = F.broadcast(near.orderBy(F.xxhash64(doc), doc).limit(most))  # so many ids at most
     rows = df.select(F.col(f"`{doc}`").alias(doc), F.col(f"`{text}`").alias("t")).join(chosen, doc)
 
     def compute(texts: pa.Array) -> list[pa.Array]:
