@@ -3,7 +3,8 @@
 Tasks explode texts to pre-tokens with positions, kept for many texts at once as a block: its distinct words, and at each
 position the number of the word.  Distinct words go to hash buckets, where equal words of all blocks meet and are worked out once; the answers go
 back to the blocks, which put them in the places of the words.  So a frequent word travels once a block, not once an
-occurrence, and no key is hot.
+occurrence, and no key is hot.  Positions travel once, in the same exchange as the words: that exchange is read both
+to answer words and, beside the answers, to put them in place.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 import zstandard
 from pyspark.sql import DataFrame
@@ -52,6 +54,11 @@ def ragged(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndar
     return values[np.repeat(offsets[rows] - (np.cumsum(size) - size), size) + np.arange(int(size.sum()))]
 
 
+def _home(block: int, buckets: int) -> int:
+    """The bucket where a block's positions wait for the answers."""
+    return zlib.crc32(block.to_bytes(8, "big")) % buckets
+
+
 def word_values(
     df: DataFrame,
     doc: str,
@@ -93,7 +100,7 @@ def word_values(
             order = np.argsort(bucket, kind="stable")
             edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
             block = base | n
-            rows = [(block % buckets, block, -1, _packed((part.column(0).to_pylist(), counts, _planes(number[place]), _planes(bucket))))]
+            rows = [(_home(block, buckets), block, -1, _packed((part.column(0).to_pylist(), counts, _planes(number[place]), _planes(bucket))))]
             for b in range(buckets):
                 own = [raw[i] for i in order[edges[b] : edges[b + 1]].tolist()]
                 if own:
@@ -102,10 +109,7 @@ def word_values(
 
     def answer(table: pa.Table) -> pa.Table:
         rows, asked, known = [], [], {}
-        for _, block, part, payload in zip(*(c.to_pylist() for c in table.columns), strict=True):
-            if part < 0:
-                rows.append((block, part, payload))
-                continue
+        for _, block, part, payload in zip(*(c.to_pylist() for c in table.filter(pc.greater_equal(table["part"], 0)).columns), strict=True):
             planes, joined = _unpacked(payload)
             ends = np.cumsum(_numbers(planes)).tolist()
             words = [joined[a:b] for a, b in zip([0, *ends], ends, strict=False)]
@@ -116,18 +120,15 @@ def word_values(
         offsets = np.r_[0, np.cumsum(size)]
         for block, part, at in asked:
             at = np.array(at, np.int64)
-            rows.append((block, part, _packed((_planes(size[at]), _planes(ragged(flat, offsets, at))))))
-        columns = zip(*rows, strict=True) if rows else ([], [], [])
-        return pa.table([pa.array(c, t) for c, t in zip(columns, _KINDS[1:], strict=True)], names=["block", "part", "payload"])
-
-    def back(table: pa.Table) -> pa.Table:
-        parts = {}
-        for _, part, payload in zip(*(c.to_pylist() for c in table.columns), strict=True):
-            parts[part] = _unpacked(payload)
-        docs, counts, planes, bucket = parts.pop(-1)
+            rows.append((_home(block, buckets), block, part, _packed((_planes(size[at]), _planes(ragged(flat, offsets, at))))))
+        columns = zip(*rows, strict=True) if rows else ([], [], [], [])
+        return pa.table([pa.array(c, t) for c, t in zip(columns, _KINDS, strict=True)], names=["home", "block", "part", "payload"])
+
+    def placed(head: bytes, parts: dict[int, bytes]) -> pa.Table:
+        docs, counts, planes, bucket = _unpacked(head)
         order = np.argsort(_numbers(bucket), kind="stable")
         size = np.zeros(len(order), np.int64)
-        got = [parts[b] for b in sorted(parts)]
+        got = [_unpacked(parts[b]) for b in sorted(parts)]
         if got:
             size[order] = np.concatenate([_numbers(s) for s, _ in got])
         by_bucket = np.concatenate([_numbers(v) for _, v in got]) if got else np.zeros(0, np.int64)
@@ -139,6 +140,16 @@ def word_values(
         where[order] = np.arange(len(order))
         return finish(docs, np.array(counts, np.int64), _numbers(planes), ragged(by_bucket, start, where), np.r_[0, np.cumsum(size)])
 
+    def back(answers: pa.Table, sent: pa.Table) -> pa.Table:
+        parts: dict[int, dict[int, bytes]] = {}
+        for _, block, part, payload in zip(*(c.to_pylist() for c in answers.columns), strict=True):
+            parts.setdefault(block, {})[part] = payload
+        heads = sent.filter(pc.less(sent["part"], 0))
+        none = np.zeros(0, np.int64)
+        done = [placed(head, parts.get(block, {})) for block, head in zip(heads["block"].to_pylist(), heads["payload"].to_pylist(), strict=True)]
+        return pa.concat_tables(done) if done else finish([], none, none, none, np.zeros(1, np.int64))
+
     rows = df.select(F.col(f"`{doc}`").cast("bigint").alias("d"), F.col(f"`{text}`").cast("string").alias("t"))
-    answers = rows.mapInArrow(out, _ROW_SQL).groupBy("key").applyInArrow(answer, "block bigint, part int, payload binary")
-    return answers.groupBy("block").applyInArrow(back, schema)
+    sent = rows.mapInArrow(out, _ROW_SQL).repartition("key")  # one exchange, read twice
+    answers = sent.groupBy("key").applyInArrow(answer, "home bigint, block bigint, part int, payload binary")
+    return answers.groupBy("home").cogroup(sent.groupBy("key")).applyInArrow(back, schema)
