@@ -108,7 +108,7 @@ def _blocks_out(block: int, head, grams: np.ndarray, sizes: np.ndarray, buckets:
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
     low = (grams[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
-    rows = [(block % buckets, block, -1, _packed(head))]
+    rows = [(zlib.crc32(block.to_bytes(8, "big")) % buckets, block, -1, _packed(head))]
     for b in range(buckets):
         at = slice(edges[b], edges[b + 1])
         if at.stop > at.start:
