@@ -7,6 +7,7 @@ longer than the bound makes a slice of its own: texts are never cut.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -16,7 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 #: Bytes of text that one numpy pass handles.
-SLICE_BYTES = 2_000_000
+SLICE_BYTES = 1_000_000
 
 #: Bytes that are white space: space and 0x09-0x0D.
 _SPACE = np.zeros(256, bool)
@@ -34,6 +35,23 @@ _INVERSE = pow(_BASE, -1, 1 << 64)
 _powers: list[np.ndarray] = []
 
 
+_libc = ctypes.CDLL(None)
+
+
+def give_back() -> None:
+    """Returns freed memory to the system. Else a worker keeps its most, while it waits for tasks and others need it."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(_libc, "malloc_trim"):
+        _libc.malloc_trim(0)
+
+
+def lean(f: Callable[..., pa.Table], *args) -> pa.Table:
+    """Calls a function of groups and gives back what it has freed."""
+    out = f(*args)
+    give_back()
+    return out
+
+
 def text_slices(batches: Iterator[pa.RecordBatch], column: str, most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Cuts batches into runs of rows with at most so many bytes in a string column, one row at least."""
     for batch in batches:
@@ -88,7 +106,7 @@ def mixed(h: np.ndarray) -> np.ndarray:
 
 def _power_tables(n: int) -> tuple[np.ndarray, np.ndarray]:
     if not _powers or len(_powers[0]) < n:
-        size = max(n, 1 << 21)
+        size = max(n, SLICE_BYTES + 1)
         with np.errstate(over="ignore"):
             _powers[:] = [np.concatenate([[np.uint64(1)], np.cumprod(np.full(size - 1, b, np.uint64))]) for b in (_BASE, _INVERSE)]
     return _powers[0], _powers[1]
@@ -127,6 +145,7 @@ def append_columns(
             columns = [part.column(i) for i in range(len(keep))] + list(compute(part.column(len(keep))))
             done = pa.RecordBatch.from_arrays(columns, names=[f.name for f in out])
             yield done.filter(columns[len(keep) + next(i for i, f in enumerate(fields) if f.name == where)]) if where else done
+        give_back()
 
     got = inner.mapInArrow(run, out)
     names = [*keep, *[f.name for f in fields]]

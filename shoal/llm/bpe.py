@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from shoal.llm.arrowtext import give_back
 from shoal.llm.wordblocks import ragged, word_values
 
 _encoders: dict = {}
@@ -93,6 +94,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", decoded:
                 joined = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(rows.tobytes()), pa.py_buffer(ragged(data, offsets, flat).tobytes())])
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, upto - at) for c in batch.columns[: len(keep)]], joined], names=out.names)
                 at = upto
+        give_back()
 
     return own.mapInArrow(run, out).select(*[F.col(f"k{i}").alias(c) for i, c in enumerate(keep)], F.col("b").alias(decoded))
 

@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoal.llm.arrowtext import LOWER, NOT_SPACE, mixed, text_bytes, text_slices, word_hashes, word_spans
+from shoal.llm.arrowtext import LOWER, NOT_SPACE, give_back, lean, mixed, text_bytes, text_slices, word_hashes, word_spans
 from shoal.llm.components import components
 from shoal.llm.storage import stored
 
@@ -156,7 +156,7 @@ def _by_block(table: pa.Table) -> tuple[object, dict[int, np.ndarray]]:
 
 
 def _frequencies(blocks: DataFrame, whole: bool) -> DataFrame:
-    answers = blocks.groupBy("key").applyInArrow(lambda t: _counted(t, whole), "block bigint, part int, payload binary")
+    answers = blocks.groupBy("key").applyInArrow(lambda t: lean(_counted, t, whole), "block bigint, part int, payload binary")
     return answers.groupBy("block")
 
 
@@ -195,6 +195,7 @@ def profile(df: DataFrame, *, doc: str, text: str, width: int = WORDS, buckets:
                 docs, all_sizes, digests, all_grams, size = [], [], [], [], 0
         if docs:
             yield flush()
+        give_back()
 
     def back(table: pa.Table) -> pa.Table:
         (docs, sizes, digests), parts = _by_block(table)
@@ -203,7 +204,7 @@ def profile(df: DataFrame, *, doc: str, text: str, width: int = WORDS, buckets:
         return pa.table([pa.array(docs, pa.int64()), pa.array(sizes, pa.int64()), pa.array(digests, pa.binary()), pa.array(candidate)], names=["doc", "n", "digest", "candidate"])
 
     rows = df.select(F.col(f"`{doc}`").cast("bigint").alias("d"), F.col(f"`{text}`").cast("string").alias("t"))
-    return _frequencies(rows.mapInArrow(out, _ROW_SQL), False).applyInArrow(back, "doc bigint, n bigint, digest binary, candidate boolean")
+    return _frequencies(rows.mapInArrow(out, _ROW_SQL), False).applyInArrow(lambda t: lean(back, t), "doc bigint, n bigint, digest binary, candidate boolean")
 
 
 def sets_of(df: DataFrame, chosen: DataFrame, *, doc: str, text: str, width: int = WORDS) -> DataFrame:
@@ -225,6 +226,7 @@ def sets_of(df: DataFrame, chosen: DataFrame, *, doc: str, text: str, width: int
                 ends = np.cumsum(sizes)
                 own = [grams[e - s : e] for s, e in zip(sizes, ends, strict=True)]
                 yield pa.RecordBatch.from_arrays([part.column(1), pa.array(sizes, pa.int64()), pa.array(map(_digest, own), pa.binary()), pa.array([g.tobytes() for g in own], pa.binary())], names=["rep", "n", "digest", "grams"])
+        give_back()
 
     rows = df.where(F.col(f"`{doc}`").isNotNull()).select(F.col(f"`{doc}`").cast("bigint").alias("rep"), F.col(f"`{text}`").cast("string").alias("t"))
     made = rows.select(place.alias("p"), "rep", "t").mapInArrow(out, "rep bigint, n bigint, digest binary, grams binary")
@@ -260,6 +262,7 @@ def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
                     reps, grams, size = [], [], 0
         if reps:
             yield flush()
+        give_back()
 
     def back(table: pa.Table) -> pa.Table:
         (reps, sizes, grams), parts = _by_block(table)
@@ -282,7 +285,7 @@ def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
         columns = zip(*rows, strict=True) if rows else [[] for _ in kinds]
         return pa.table([pa.array(c, t) for c, t in zip(map(list, columns), kinds, strict=True)], names=["rep", "n", "rank", "sketch", "keys", "scans", "small"])
 
-    return _frequencies(sets.select("rep", "grams").mapInArrow(out, _ROW_SQL), True).applyInArrow(back, "rep bigint, n bigint, rank bigint, sketch array<bigint>, keys array<bigint>, scans array<bigint>, small array<bigint>")
+    return _frequencies(sets.select("rep", "grams").mapInArrow(out, _ROW_SQL), True).applyInArrow(lambda t: lean(back, t), "rep bigint, n bigint, rank bigint, sketch array<bigint>, keys array<bigint>, scans array<bigint>, small array<bigint>")
 
 
 def subsets_of(n: int, boundary: int) -> int:
@@ -346,7 +349,7 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         columns = zip(*rows, strict=True) if rows else ([], [], [])
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()), strict=True)], names=["a", "b", "linked"])
 
-    return leaders.groupBy("home of a", "chunk of a").cogroup(members.groupBy("home", "chunk")).applyInArrow(meet, "a bigint, b bigint, linked boolean")
+    return leaders.groupBy("home of a", "chunk of a").cogroup(members.groupBy("home", "chunk")).applyInArrow(lambda x, y: lean(meet, x, y), "a bigint, b bigint, linked boolean")
 
 
 def linked_components(lists: DataFrame, sets: DataFrame) -> DataFrame:

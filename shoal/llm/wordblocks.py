@@ -21,7 +21,7 @@ import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoal.llm.arrowtext import text_slices
+from shoal.llm.arrowtext import give_back, lean, text_slices
 
 #: Bytes of text in a block.
 BLOCK_BYTES = 6_000_000
@@ -106,6 +106,7 @@ def word_values(
                 if own:
                     rows.append((b, block, b, _packed((_planes(np.fromiter(map(len, own), np.int64, len(own))), b"".join(own)))))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _KINDS, strict=True)], names=["key", "block", "part", "payload"])
+        give_back()
 
     def answer(table: pa.Table) -> pa.Table:
         rows, asked, known = [], [], {}
@@ -151,5 +152,5 @@ def word_values(
 
     rows = df.select(F.col(f"`{doc}`").cast("bigint").alias("d"), F.col(f"`{text}`").cast("string").alias("t"))
     sent = rows.mapInArrow(out, _ROW_SQL).repartition("key")  # one exchange, read twice
-    answers = sent.groupBy("key").applyInArrow(answer, "home bigint, block bigint, part int, payload binary")
-    return answers.groupBy("home").cogroup(sent.groupBy("key")).applyInArrow(back, schema)
+    answers = sent.groupBy("key").applyInArrow(lambda t: lean(answer, t), "home bigint, block bigint, part int, payload binary")
+    return answers.groupBy("home").cogroup(sent.groupBy("key")).applyInArrow(lambda a, b: lean(back, a, b), schema)
