@@ -37,7 +37,7 @@ def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text, and a digest of the bytes that they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))
-    encoded = bpe.encode(docs, ranks, public_tokenizers.PATTERN)
+    encoded = stored(bpe.encode(docs, ranks, public_tokenizers.PATTERN))  # else each task would keep workers for both steps
     decoded = bpe.decode(encoded, ranks)
     return decoded.select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids", F.sha2("decoded", 256).alias("decoded_sha256"))
 
