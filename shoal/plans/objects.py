@@ -238,10 +238,19 @@ def canonical_headers(spark, sf):
 
 @query("select user_id, string_agg(event_type || '=' || cast(round(value) as bigint), '&' order by event_type, event_id) as query from events where event_id % 10 = 0 group by user_id")
 def canonical_query(spark, sf):
-    """Parameters by name, values of one name in the order in which they came."""
-    rows = relation(spark, sf, "events").where("event_id % 10 = 0")
+    """Parameters by name, values of one name in the order in which they came. Only every tenth event, as its SQL has it; ``canonical_query_all`` has all."""
+    return _canonical_queries(relation(spark, sf, "events").where("event_id % 10 = 0"), "user_id")
+
+
+def _canonical_queries(events, *by: str):
     pairs = F.array_sort(F.collect_list(F.struct(F.col("event_type").alias("k"), F.col("event_id").alias("p"), F.round("value").cast("bigint").cast("string").alias("v"))))
-    return rows.groupBy("user_id").agg(F.array_join(F.transform(pairs, lambda x: F.concat(text.url_encode(x["k"]), F.lit("="), text.url_encode(x["v"]))), "&").alias("query"))
+    return events.groupBy(*by).agg(F.array_join(F.transform(pairs, lambda x: F.concat(text.url_encode(x["k"]), F.lit("="), text.url_encode(x["v"]))), "&").alias("query"))
+
+
+@query("select user_id, event_id // 1000 as request, string_agg(event_type || '=' || cast(round(value) as bigint), '&' order by event_type, event_id) as query from events group by user_id, event_id // 1000")
+def canonical_query_all(spark, sf):
+    """All events. A user's request takes those of 1,000 ids, so that no group grows with the input."""
+    return _canonical_queries(relation(spark, sf, "events").withColumn("request", F.expr("event_id div 1000")), "user_id", "request")
 
 
 @query("select event_id, case when event_id % 4 <> 3 then case when event_id % 2 = 0 then date_trunc('second', ts) else date_trunc('millisecond', ts) end end as parsed from events")

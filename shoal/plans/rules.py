@@ -69,9 +69,20 @@ def delete_batches(spark, sf):
 
 @query(with_oracle("objects") + "select key, 'deleted' as outcome from objects where doc_id % 3 = 0 union all select 'gone/' || key, 'skipped' from objects where doc_id % 5 = 0")
 def delete_missing(spark, sf):
+    """Requests for some of the objects, as its SQL has it; ``delete_missing_all`` asks for all."""
     objects = relation(spark, sf, "objects")
-    wanted = objects.where("doc_id % 3 = 0").select("key").union(objects.where("doc_id % 5 = 0").select(F.concat(F.lit("gone/"), "key")))
-    return transfer.delete_outcome(wanted, objects)
+    return _deleted(objects, objects.where("doc_id % 3 = 0"), objects.where("doc_id % 5 = 0"))
+
+
+def _deleted(objects, there, gone):
+    return transfer.delete_outcome(there.select("key").union(gone.select(F.concat(F.lit("gone/"), "key"))), objects)
+
+
+@query(with_oracle("objects") + "select key, 'deleted' as outcome from objects union all select 'gone/' || key, 'skipped' from objects")
+def delete_missing_all(spark, sf):
+    """Every object is asked for, and as many keys that no object has."""
+    objects = relation(spark, sf, "objects")
+    return _deleted(objects, objects, objects)
 
 
 # --- rules
@@ -191,15 +202,23 @@ def policy_allowed_reference(spark, sf):
 
 @query(with_oracle("notifications") + "select event_id, event_name, key, date_trunc('millisecond', event_time) as event_time, '' as version_id from notifications where event_id % 4 = 0")
 def notification_stream(spark, sf):
-    """Events as lines in a landing folder, read as a stream's rows are; tests run the stream itself."""
+    """Events as lines in a landing folder, read as a stream's rows are; tests run the stream itself. Every fourth, as its SQL has it; ``notification_stream_all`` has all."""
+    return _landed(spark, relation(spark, sf, "notifications").where("event_id % 4 = 0"))
+
+
+def _landed(spark, rows):
     path = new_folder(spark)
     record = F.struct(F.struct(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTime"), F.col("event_name").alias("eventName"), F.struct(F.struct("key", F.col("event_id").cast("string").alias("sequencer")).alias("object")).alias("s3")).alias("r"))
-    rows = relation(spark, sf, "notifications").where("event_id % 4 = 0")
     rows.select(F.to_json(F.struct(F.array(record["r"]).alias("Records"))).alias("value")).write.text(path)
     found = notifications.records(notifications.lines(spark, path))
     return found.select(F.col("sequencer").cast("bigint").alias("event_id"), "event_name", "key", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "version_id")
 
 
+@query(with_oracle("notifications") + "select event_id, event_name, key, date_trunc('millisecond', event_time) as event_time, '' as version_id from notifications")
+def notification_stream_all(spark, sf):
+    return _landed(spark, relation(spark, sf, "notifications"))
+
+
 @query(with_oracle("notifications") + "select event_id, key, event_name from notifications where starts_with(key, 'images/') and ends_with(key, '.png') and starts_with(event_name, 's3:ObjectCreated:')")
 def event_filter(spark, sf):
     return rules.event_filter(relation(spark, sf, "notifications"), prefix="images/", suffix=".png", names=["s3:ObjectCreated:*"]).select("event_id", "key", "event_name")
