@@ -209,9 +209,15 @@ def _url_encode(spark, sf):
 
 @query("select doc_id, replace(url_encode(text[1:80]), '%2F', '/') as encoded from documents")
 def encode_key(spark, sf):
+    """Keys of 80 characters, as its SQL has it; ``encode_key_all`` encodes whole texts."""
     return relation(spark, sf, "documents").select("doc_id", text.encode_key(F.substring("text", 1, 80)).alias("encoded"))
 
 
+@query("select doc_id, replace(url_encode(text), '%2F', '/') as encoded from documents")
+def encode_key_all(spark, sf):
+    return relation(spark, sf, "documents").select("doc_id", text.encode_key("text").alias("encoded"))
+
+
 @query(with_oracle("urls") + "select page_id, string_split(t, '=')[1] as tag, coalesce(string_split(t, '=')[2], '') as value from (select page_id, unnest(string_split(query, '&')) as t from urls)")
 def parse_tags(spark, sf):
     return relation(spark, sf, "urls").select("page_id", F.explode(text.parse_tags("query")).alias("tag", "value"))

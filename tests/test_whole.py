@@ -1,6 +1,7 @@
 """Queries over all rows, where those whose SQL has a filter or a prefix take a part; test_queries compares them with their SQL."""
 
 from collections import defaultdict
+from urllib.parse import quote
 
 from shoal.plans import registry
 
@@ -22,3 +23,9 @@ def test_all_objects_are_deleted(spark, sf):
     n = spark.read.parquet(f"{sf}/documents.parquet").count()
     rows = registry.queries()["delete_missing_all"](spark, sf).groupBy("outcome").count().collect()
     assert {r.outcome: r["count"] for r in rows} == {"deleted": n, "skipped": n}
+
+
+def test_keys_are_encoded_to_their_end(spark, sf):
+    want = {r.doc_id: quote(r.text, safe="/-._~") for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = {r.doc_id: r.encoded for r in registry.queries()["encode_key_all"](spark, sf).collect()}
+    assert got == want and max(map(len, got.values())) > 10_000
