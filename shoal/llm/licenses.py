@@ -1,7 +1,8 @@
 """License scans: TF-IDF cosine of passages to templates, and inheritance from the nearest ancestor directory.
 
-Every line of a text is a passage.  Its sparse TF-IDF vector is compared with those of the license templates; document frequencies of the
-templates' words are counted over all texts.  A bound from sums over whole slices leaves out lines that can't be near any template.
+Passages are every line, and for each template every run of as many words as it has, over line ends: so wrapped headers, notices in prose
+and whole license files are found.  A passage's sparse TF-IDF vector is compared with the template's; document frequencies of the
+templates' words are counted over all texts.  A bound from sums over whole slices leaves out passages that can't be near a template.
 A text that mostly is a license is a license file of its directory; texts without a license of their own
 get that of the nearest directory above them that has a license file, by a join on paths.
 """
@@ -9,8 +10,10 @@ get that of the nearest directory above them that has a license file, by a join
 from __future__ import annotations
 
 import math
+from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
+from pathlib import Path
 
 import numpy as np
 import pyarrow as pa
@@ -28,12 +31,22 @@ TEMPLATES = (
     ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:"),
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
     ("CC-BY-NC-4.0", "This work is licensed under the Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
     ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("MIT", "Released under the MIT License."),
     ("MIT", 'Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files (the "Software"), to deal in the Software without restriction'),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
 )
+#: Compared with whole lines only: a few words in prose can be near them by chance.
+TITLES = (
+    ("Apache-2.0", "Apache License Version 2.0"),
+    ("Apache-2.0", "Apache License 2.0"),
+    ("BSD-3-Clause", "BSD 3-Clause License"),
+    ("MIT", "MIT License"),
+    ("MIT", "The MIT License (MIT)"),
+    ("MPL-2.0", "Mozilla Public License Version 2.0"),
+)
 #: Least cosine of a license notice; share of a text's words, in notices, of a license file.
 NEAR, FILE_SHARE = 0.75, 0.25
 
@@ -94,13 +107,35 @@ def document_frequencies(df: DataFrame, text: str, vocabulary: Vocabulary) -> tu
     return int(count[-1]), count[:-1]
 
 
-def notices(df: DataFrame, *, text: str = "text", keep: list[str] | None = None, templates=TEMPLATES, near: float = NEAR, file_share: float = FILE_SHARE) -> DataFrame:
+def full_texts() -> tuple[tuple[str, str], ...]:
+    """The texts of whole licenses, read on the driver."""
+    return tuple((f.stem, f.read_text()) for f in sorted((Path(__file__).parent / "license_texts").glob("*.txt")))
+
+
+def _sums(x: np.ndarray) -> np.ndarray:
+    return np.concatenate([[0.0], np.cumsum(x)])
+
+
+def _apart(passing: list[tuple[float, int]], length: int) -> list[int]:
+    """Starts of the nearest passages of one length that don't overlap."""
+    taken: list[int] = []
+    for _, a in sorted(passing, key=lambda x: (-round(x[0], 9), x[1])):
+        k = bisect(taken, a)
+        if (not k or a - taken[k - 1] >= length) and (k == len(taken) or taken[k] - a >= length):
+            taken.insert(k, a)
+    return taken
+
+
+def notices(df: DataFrame, *, text: str = "text", keep: list[str] | None = None, templates=TEMPLATES, titles=TITLES, full=None, near: float = NEAR, file_share: float = FILE_SHARE) -> DataFrame:
     """Adds, for every whole text, its nearest ``license`` with ``similarity`` and ``line`` (from 1), all ``licenses`` by name, and whether it is a ``license_file``.
 
-    Without a line of cosine ``near`` or more these are null, 0, null, null and false; so for null and empty texts. Of equal cosines the first line counts, then the first
-    template. ``keep``: the columns that stay, all by default; one that is named as a result gives way to it.
+    Without a passage of cosine ``near`` or more these are null, 0, null, null and false; so for null and empty texts. Of equal cosines the first line counts, then the first
+    template. Of overlapping passages of several licenses the nearest counts, of equal ones the longest. ``full``: whole license texts, ``full_texts`` by default; a text
+    with less than half the words of a template is no passage for it but by its lines. ``keep``: the columns that stay, all by default; one that is named as a result gives way to it.
     """
-    vocabulary = Vocabulary(templates)
+    every = [*templates, *titles, *(full_texts() if full is None else full)]
+    by_line, by_window = range(len(templates) + len(titles)), [i for i in range(len(every)) if not len(templates) <= i < len(templates) + len(titles)]
+    vocabulary = Vocabulary(every)
     texts, frequency = document_frequencies(df, text, vocabulary)
     idf = np.log((1 + texts) / (1 + frequency)) + 1
     other = math.log(1 + texts) + 1  # of words that no template has
@@ -110,40 +145,119 @@ def notices(df: DataFrame, *, text: str = "text", keep: list[str] | None = None,
         v = {w: n * weight[w] for w, n in counts.items()}
         size = math.sqrt(sum(x * x for x in v.values())) or 1.0
         vectors.append({w: x / size for w, x in v.items()})
-    names = [name for name, _ in templates]
+    names = [name for name, _ in every]
+    lengths = [sum(c.values()) for c in vocabulary.counts]
+    # by place in the vocabulary, and 0 for a word outside: what a word adds to the dot product
+    adds = [np.array([t.get(w, 0.0) * weight[w] for w in vocabulary.hashes.tolist()] + [0.0]) for t in vectors]
+    often = sorted({w for i in by_window for w, n in vocabulary.counts[i].most_common(8) if n > 9})
 
     def compute(texts: pa.Array) -> list[pa.Array]:
         data, offsets, hashes, starts, first = _words(texts)
         n = len(texts)
-        line_starts, _, line_first = word_spans(data, offsets, _LINE)
-        found: list[list[tuple[float, int, int, int]]] = [[] for _ in range(n)]
+        passages: list[list[tuple[float, int, int, int]]] = [[] for _ in range(n)]
         if len(hashes):
-            line = np.searchsorted(line_starts, starts, "right") - 1
             word = vocabulary.find(hashes)
-            w = np.where(word >= 0, idf[word], 0.0)
-            inside = np.bincount(line, weights=w, minlength=len(line_starts))
-            outside = np.bincount(line, weights=(word < 0) * other**2, minlength=len(line_starts))
-            # the vector's part in the vocabulary is at most the sum of its words, the rest at least as long as if no word came twice
-            maybe = np.flatnonzero((inside > 0) & (inside**2 * (1 - near**2) >= near**2 * outside))
-            edges = np.searchsorted(line, np.r_[maybe, maybe + 1])
-            for k, number in enumerate(maybe.tolist()):
-                own = Counter(hashes[edges[k] : edges[k + len(maybe)]].tolist())
-                v = {x: c * weight.get(x, other) for x, c in own.items()}
-                size = math.sqrt(sum(x * x for x in v.values()))
-                cosine = [sum(v.get(x, 0.0) * y for x, y in t.items()) / size for t in vectors]
-                best = max(range(len(cosine)), key=lambda i: (round(cosine[i], 9), -i))
-                if cosine[best] >= near:
-                    row = int(np.searchsorted(offsets, line_starts[number], "right")) - 1
-                    at = int(line_starts[number])
-                    found[row].append((round(min(cosine[best], 1.0), 9), 1 + int((data[offsets[row] : at] == 10).sum()), best, sum(own.values())))
+            weights = np.append(idf, other)[word]
+            squares = _sums(weights**2)
+            row = np.repeat(np.arange(n), np.diff(first))
+            line_starts, _, _ = word_spans(data, offsets, _LINE)
+            lines = np.searchsorted(np.searchsorted(line_starts, starts, "right") - 1, np.arange(len(line_starts) + 1))
+            lines = np.stack([lines[:-1], lines[1:]])[:, np.diff(lines) > 0]
+            repeats = [(_sums(hashes == np.uint64(w)), weight[w] ** 2) for w in often]
+
+            def maybe(i: int, sums: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+                """Passages that can be near: a vector is at least as long as if no word came twice, but for those that templates often have."""
+                dot = sums[b] - sums[a] + 1e-6
+                k = np.flatnonzero((dot > 2e-6) & (dot**2 >= near**2 * (squares[b] - squares[a])))
+                a, b, dot = a[k], b[k], dot[k]
+                if lengths[i] > 100 and len(k):
+                    least = squares[b] - squares[a]
+                    for count, square in repeats:
+                        c = count[b] - count[a]
+                        least += (c * c - c) * square
+                    k = dot**2 >= near**2 * least * (1 - 1e-9)
+                    a, b = a[k], b[k]
+                return a, b
+
+            def cosine(i: int, a: int, b: int) -> float:
+                v = {x: c * weight.get(x, other) for x, c in Counter(hashes[a:b].tolist()).items()}
+                return sum(v.get(x, 0.0) * y for x, y in vectors[i].items()) / math.sqrt(sum(x * x for x in v.values()))
+
+            def add(i: int, a: int, b: int) -> None:
+                c = cosine(i, a, b)
+                if c >= near:
+                    own = np.flatnonzero(adds[i][word[a:b]])
+                    passages[row[a]].append((round(min(c, 1.0), 9), a + int(own[0]), a + int(own[-1]) + 1, i))
+
+            def slid(i: int, at: list[int], length: int) -> Iterator[tuple[float, int]]:
+                """Cosines of windows, in order, by counts that move along."""
+                counts: dict[int, int] = {}
+                lo = hi = base = 0
+                ids: list[int] = []
+                own: list[float] = []
+                dots: list[float] = []
+                total = dot = 0.0
+                for k, a in enumerate(at):
+                    if not k or a >= hi:
+                        end = k
+                        while end + 1 < len(at) and at[end + 1] < at[end] + length:
+                            end += 1
+                        base = lo = hi = a
+                        span = slice(a, at[end] + length)
+                        ids, own, dots = hashes[span].tolist(), (weights[span] ** 2).tolist(), adds[i][word[span]].tolist()
+                        counts, total, dot = {}, 0.0, 0.0
+                    while hi < a + length:
+                        j = hi - base
+                        c = counts.get(ids[j], 0)
+                        counts[ids[j]] = c + 1
+                        total += (2 * c + 1) * own[j]
+                        dot += dots[j]
+                        hi += 1
+                    while lo < a:
+                        j = lo - base
+                        c = counts[ids[j]]
+                        counts[ids[j]] = c - 1
+                        total -= (2 * c - 1) * own[j]
+                        dot -= dots[j]
+                        lo += 1
+                    yield dot / math.sqrt(total), a
+
+            for i in range(len(every)):
+                sums = _sums(adds[i][word])
+                if i in by_line:
+                    for a, b in zip(*(x.tolist() for x in maybe(i, sums, *lines)), strict=True):
+                        add(i, a, b)
+                if i in by_window:
+                    size = lengths[i]
+                    a = np.flatnonzero(np.arange(len(row)) + size <= first[row + 1])
+                    a, _ = maybe(i, sums, a, a + size)
+                    passing = [(c, x) for c, x in slid(i, a.tolist(), size) if c >= near - 1e-9]
+                    for r in sorted({int(row[x]) for _, x in passing}):
+                        for x in _apart([y for y in passing if first[r] <= y[1] < first[r + 1]], size):
+                            add(i, x, x + size)
+                    short = np.flatnonzero((np.diff(first) < size) & (2 * np.diff(first) >= size))
+                    for a, b in zip(*(x.tolist() for x in maybe(i, sums, first[short], first[short + 1])), strict=True):
+                        add(i, a, b)
         words = np.diff(first)
-        best = [max(x, key=lambda y: (y[0], -y[1])) if x else None for x in found]
+        found: list[list[tuple[float, int, int, int]]] = []
+        share = []
+        for r, some in enumerate(passages):
+            owner = np.full(words[r] if some else 0, -1)
+            kept = []
+            for p in sorted(some, key=lambda p: (-p[0], p[1] - p[2], p[1], p[3])):
+                a, b, name = p[1] - first[r], p[2] - first[r], names.index(names[p[3]])
+                if ((owner[a:b] == -1) | (owner[a:b] == name)).all():
+                    owner[a:b] = name
+                    kept.append((p[0], 1 + int((data[offsets[r] : starts[p[1]]] == 10).sum()), p[3]))
+            found.append(kept)
+            share.append(int((owner >= 0).sum()))
+        best = [min(x, key=lambda y: (-y[0], y[1], y[2])) if x else None for x in found]
         return [
             pa.array([names[b[2]] if b else None for b in best], pa.string()),
             pa.array([b[0] if b else 0.0 for b in best], pa.float64()),
             pa.array([b[1] if b else None for b in best], pa.int64()),
             pa.array([",".join(sorted({names[y[2]] for y in x})) if x else None for x in found], pa.string()),
-            pa.array([bool(x) and sum(y[3] for y in x) >= file_share * words[i] for i, x in enumerate(found)], pa.bool_()),
+            pa.array([bool(x) and share[i] >= file_share * words[i] for i, x in enumerate(found)], pa.bool_()),
         ]
 
     return append_columns(df, text, compute, FIELDS, df.columns if keep is None else keep)
