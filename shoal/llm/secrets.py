@@ -1,8 +1,8 @@
 """Secret scans: fixed patterns, and sliding-window Shannon entropy over candidate strings.
 
 A candidate is a long run of key-like characters.  For each character class, the entropy of a window moves along it by
-incremental counts; windows above the class's threshold join to spans.  Spans that an allow-list pattern matches are suppressed, and so
-are those inside a pattern's span.  Runs of characters are found for all texts of a slice at once; only texts with
+incremental counts; windows above the class's threshold join to spans.  Places that an allow-list pattern matches are left out with what is
+near them in the same part of the candidate, and spans inside a pattern's span are suppressed.  Runs of characters are found for all texts of a slice at once; only texts with
 a keyword or a candidate are looked at one by one.
 """
 
@@ -27,13 +27,15 @@ ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x2
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 ASSIGN_LEAST, ACCESS_LEAST, HEX_LEAST, CANDIDATE_LEAST = 12, 18, 16, 20
 
-#: Strings that look random but are no secrets.
+#: Found in strings that look random but are no secrets.
 ALLOWED = (
-    r"(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}",
-    r"(?i).*(example|sample|placeholder|changeme|your[_-]).*",
-    r"(?i).*(abcdefghijkl|0123456789ab|1234567890).*",
-    r"(.)\1{7,}.*",
+    r"(?i)(?<![0-9a-f])[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}(?![0-9a-f])",
+    r"(?i)example|sample|placeholder|changeme|your[_-]",
+    r"(?i)abcdefghijkl|0123456789ab|1234567890",
+    r"(.)\1{7,}",
 )
+#: Between the parts of a candidate; so many characters of a part around an allowed place are left out with it.
+SEPARATORS, NEIGHBOURS = "/_=-+", 20
 
 
 @dataclass(frozen=True)
@@ -51,6 +53,7 @@ CLASSES = (
     CharacterClass("hex", "0123456789abcdefABCDEF", ("[0-9]", "[a-fA-F]"), 24, 3.2),
     CharacterClass("base32", "ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789", ("[0-9]", "[A-Z]"), 20, 3.6),
     CharacterClass("base64", "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-", ("[0-9]", "[A-Z]", "[a-z]"), 20, 3.75),
+    CharacterClass("base36", "abcdefghijklmnopqrstuvwxyz0123456789", ("[0-9]", "[g-z]"), 20, 3.6),
 )
 
 
@@ -61,7 +64,7 @@ def _marks(characters: bytes) -> np.ndarray:
 
 
 _HEX, _ACCESS = _marks(b"0123456789abcdef"), _marks(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
-_CANDIDATE = _marks(CLASSES[-1].characters.encode())
+_CANDIDATE = _marks("".join(c.characters for c in CLASSES).encode())
 
 
 def entropy_spans(text: str, kind: CharacterClass) -> list[tuple[int, int]]:
@@ -92,6 +95,24 @@ def entropy_spans(text: str, kind: CharacterClass) -> list[tuple[int, int]]:
     return [(a, b) for a, b in found]
 
 
+def unallowed(candidate: str, allow: list[re.Pattern]) -> list[tuple[int, int, int, int]]:
+    """The pieces of a candidate outside allowed places and their neighbourhoods, as (start, end, least start, last end): a span that reaches the piece's edge goes on up to the allowed place."""
+    places: list[list[int]] = []
+    for x in allow:
+        for m in x.finditer(candidate):
+            a, b = m.span()
+            left = max(candidate.rfind(c, 0, a) for c in SEPARATORS) + 1
+            right = min((k for c in SEPARATORS if (k := candidate.find(c, b)) >= 0), default=len(candidate))
+            places.append([max(left, a - NEIGHBOURS), min(right, b + NEIGHBOURS), a, b])
+    pieces = []
+    at = least = 0
+    for a, b, inner, end in sorted(places):
+        if a > at:
+            pieces.append((at, a, least, inner))
+        at, least = max(at, b), max(least, end)
+    return [*pieces, (at, len(candidate), least, len(candidate))] if at < len(candidate) else pieces
+
+
 def spans_of(texts: pa.Array, classes: tuple[CharacterClass, ...] = CLASSES, allowed: tuple[str, ...] = ALLOWED) -> list[list[tuple[int, int, int]]]:
     """For each text its spans as (start, index of the kind, end), sorted; places are code points."""
     data, offsets = text_bytes(texts)
@@ -131,12 +152,11 @@ def spans_of(texts: pa.Array, classes: tuple[CharacterClass, ...] = CLASSES, all
     added: dict[int, list[tuple[int, int]]] = {}
     for row, a, b, at in runs(_CANDIDATE, CANDIDATE_LEAST):
         candidate = raw[a:b].decode()
-        if any(x.fullmatch(candidate) for x in allow):
-            continue
-        for kind in classes:
-            for s, e in entropy_spans(candidate, kind):
-                if not any(x.fullmatch(candidate[s:e]) for x in allow):
-                    added.setdefault(row, []).append((at + s, at + e))
+        for a, b, least, last in unallowed(candidate, allow):
+            for kind in classes:
+                for s, e in entropy_spans(candidate[a:b], kind):
+                    s, e = a + s, a + e
+                    added.setdefault(row, []).append((at + (least if s == a else s), at + (last if e == b else e)))
     for row, more in added.items():
         base = list(spans[row])
         joined: list[list[int]] = []
