@@ -29,5 +29,7 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"links still change after {rounds} rounds")
     labels = links.select(F.col("a").alias("node"), F.col("b").alias("label"))
     return labels.union(labels.select(F.col("label").alias("node"), "label").distinct())

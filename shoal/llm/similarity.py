@@ -29,8 +29,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shoal.llm.arrowtext import LOWER, NOT_SPACE, give_back, lean, mixed, text_bytes, text_slices, word_hashes, word_spans
+from shoal.llm.arrowtext import append_columns, LOWER, NOT_SPACE, give_back, lean, mixed, text_bytes, text_slices, word_hashes, word_spans
 from shoal.llm.components import components
 from shoal.llm.storage import stored
 
@@ -208,8 +209,8 @@ def profile(df: DataFrame, *, doc: str, text: str, width: int = WORDS, buckets:
 
 
 def sets_of(df: DataFrame, chosen: DataFrame, *, doc: str, text: str, width: int = WORDS) -> DataFrame:
-    """(rep, n, grams) of the chosen (rep, digest). Texts aren't shuffled: a fixed-size bitmap of chosen ids lets few others pass, whose sets then join."""
-    place = F.pmod(F.xxhash64("rep"), F.lit(FILTER_BITS))
+    """(rep, n, grams) of the chosen (rep, id, digest). Texts aren't shuffled: a fixed-size bitmap of chosen ids lets few others pass, whose sets then join."""
+    place = F.pmod(F.xxhash64("id"), F.lit(FILTER_BITS))
     bitmap = chosen.select(place.alias("p")).groupBy(F.bitmap_bucket_number(F.col("p") + 1).alias("k")).agg(F.bitmap_construct_agg(F.bitmap_bit_position(F.col("p") + 1)).alias("bits"))
     bits = np.zeros(FILTER_BITS // 8, np.uint8)
     for r in bitmap.collect():  # FILTER_BITS / 32768 rows of 4 KB at most
@@ -225,12 +226,12 @@ def sets_of(df: DataFrame, chosen: DataFrame, *, doc: str, text: str, width: int
                 grams, sizes = shingle_sets(part.column(2), width)
                 ends = np.cumsum(sizes)
                 own = [grams[e - s : e] for s, e in zip(sizes, ends, strict=True)]
-                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(sizes, pa.int64()), pa.array(map(_digest, own), pa.binary()), pa.array([g.tobytes() for g in own], pa.binary())], names=["rep", "n", "digest", "grams"])
+                yield pa.RecordBatch.from_arrays([part.column(1), pa.array(sizes, pa.int64()), pa.array(map(_digest, own), pa.binary()), pa.array([g.tobytes() for g in own], pa.binary())], names=["id", "n", "digest", "grams"])
         give_back()
 
-    rows = df.where(F.col(f"`{doc}`").isNotNull()).select(F.col(f"`{doc}`").cast("bigint").alias("rep"), F.col(f"`{text}`").cast("string").alias("t"))
-    made = rows.select(place.alias("p"), "rep", "t").mapInArrow(out, "rep bigint, n bigint, digest binary, grams binary")
-    return made.join(chosen, ["rep", "digest"]).dropDuplicates(["rep"]).select("rep", "n", "grams")
+    rows = df.where(F.col(f"`{doc}`").isNotNull()).select(F.col(f"`{doc}`").cast("bigint").alias("id"), F.col(f"`{text}`").cast("string").alias("t"))
+    made = rows.select(place.alias("p"), "id", "t").mapInArrow(out, "id bigint, n bigint, digest binary, grams binary")
+    return made.join(chosen, ["id", "digest"]).dropDuplicates(["rep"]).select("rep", "n", "grams")
 
 
 def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
@@ -388,24 +389,52 @@ def similar(df: DataFrame, *, doc: str = "doc_id", text: str = "text", width: in
     Repeated rows are equal texts and link; rows of one id with different texts are taken for different texts. An empty table gives none.
     ``buckets``: of the count of n-grams; a bucket should hold some million of them.
     """
+    found = _grouped(df, doc=doc, text=text, width=width, buckets=buckets)
+    return found.select(F.col("doc").alias(doc), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+
+
+def _grouped(df: DataFrame, *, doc: str, text: str, width: int, buckets: int | None) -> DataFrame:
+    """(doc, n, digest, component, cluster) of each row. Rows of one component have one cluster; components of one least id, which has several texts, have several."""
     spark = df.sparkSession
     buckets = buckets or 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     seen = stored(profile(df, doc=doc, text=text, width=width, buckets=buckets))
     known = seen.where("candidate and doc is not null")
-    classes = stored(known.groupBy("digest").agg(F.min("doc").alias("rep")))
-    sets = stored(sets_of(df, classes.select("rep", "digest"), doc=doc, text=text, width=width))
+    least = known.groupBy("digest").agg(F.min("doc").alias("id"))
+    first = least.groupBy("id").agg(F.min("digest").alias("first"))
+    # a class is known by its least id; where several have the same, all but one by a hash
+    extra = F.col("digest") != F.col("first")
+    classes = stored(least.join(first, "id").select("digest", "id", extra.alias("extra"), F.when(extra, F.xxhash64("digest")).otherwise(F.col("id")).alias("rep")))
+    sets = stored(sets_of(df, classes.select("rep", "id", "digest"), doc=doc, text=text, width=width))
     found = stored(prefixes(sets, buckets))
     lists = stored(postings(found, boundary(found)))  # sketches travel with their sets' list entries
     labels = linked_components(lists, sets)
-    named = classes.join(labels, classes["rep"] == labels["node"], "left").select("digest", F.coalesce("label", "rep").alias("component"))
-    rest = seen.where("not candidate or doc is null").select("doc", "n", F.col("doc").alias("component"))
-    joined = known.join(named, "digest").select("doc", "n", "component")
-    return joined.union(rest).select(F.col("doc").alias(doc), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
+    named = classes.join(labels, classes["rep"] == labels["node"], "left").select("digest", "id", "extra", F.coalesce("label", "rep").alias("cluster"))
+    if not classes.where("extra").isEmpty():
+        named = stored(named)
+        touched = named.where("extra").select("cluster").distinct()
+        true = named.join(touched, "cluster", "left_semi").groupBy("cluster").agg(F.min("id").alias("least id"))
+        named = named.join(true, "cluster", "left").select("digest", F.coalesce("least id", "cluster").alias("component"), "cluster")
+    else:
+        named = named.select("digest", F.col("cluster").alias("component"), "cluster")
+    rest = seen.where("not candidate or doc is null").withColumn("digest", F.coalesce("digest", F.lit(bytearray()))).select("doc", "n", "digest", F.col("doc").alias("component"), F.xxhash64("digest").alias("cluster"))
+    joined = known.join(named, "digest").select("doc", "n", "digest", "component", "cluster")
+    return joined.union(rest)
 
 
 def first_of_each(df: DataFrame, *, doc: str = "doc_id", text: str = "text", width: int = WORDS, buckets: int | None = None) -> DataFrame:
-    """The rows of ``df`` whose id is their component's, once each: one document of each group of near copies stays, and all rows without an id."""
-    found = similar(df, doc=doc, text=text, width=width, buckets=buckets)
-    kept = found.where(f"component_id = `{doc}`").select(F.col(doc).alias("kept id")).distinct()
-    own = df.join(kept, F.col(f"`{doc}`") == F.col("kept id")).drop("kept id").dropDuplicates([doc])
+    """The rows of ``df`` whose id is their component's, once for each id and component: one document of each group of near copies stays, and all rows without an id."""
+    found = stored(_grouped(df, doc=doc, text=text, width=width, buckets=buckets).where("doc is not null"))
+    ids = stored(found.groupBy("doc").agg(F.bool_or(F.col("component") == F.col("doc")).alias("kept"), (F.min("digest") == F.max("digest")).alias("single")).where("kept"))
+    once = ids.where("single").select(F.col("doc").alias("kept id"))
+    own = df.join(once, F.col(f"`{doc}`") == F.col("kept id")).drop("kept id").dropDuplicates([doc])
+    several = ids.where("not single").select(F.col("doc").alias("kept id"))
+    if not several.isEmpty():
+
+        def digests(texts: pa.Array) -> list[pa.Array]:
+            grams, sizes = shingle_sets(texts, width)
+            return [pa.array([_digest(grams[e - s : e]) if s else b"" for s, e in zip(sizes, np.cumsum(sizes), strict=True)], pa.binary())]
+
+        rows = append_columns(df.join(several, F.col(f"`{doc}`") == F.col("kept id")), text, digests, [T.StructField("kept digest", T.BinaryType())], [*df.columns, "kept id"])
+        kept = found.where("component = doc").join(several, F.col("doc") == F.col("kept id"), "left_semi").groupBy(F.col("doc").alias("kept id"), "cluster").agg(F.min("digest").alias("kept digest")).drop("cluster")
+        own = own.unionByName(rows.join(kept, ["kept id", "kept digest"]).dropDuplicates(["kept id", "kept digest"]).drop("kept id", "kept digest"))
     return own.unionByName(df.where(F.col(f"`{doc}`").isNull()))
