@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shoal.llm.storage import stored
+from shoal.llm.storage import dropped, stored
 
 
 def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -> DataFrame:
@@ -24,7 +24,9 @@ def components(edges: DataFrame, a: str = "a", b: str = "b", rounds: int = 50) -
         down = large.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b"))
         least = down.groupBy("a").agg(F.min("b").alias("m"))
         small = down.join(least, "a").select(F.explode(F.array("a", "b")).alias("a"), F.col("m").alias("b")).where("a != b").distinct()
-        links = stored(small)
+        last, links = links, stored(small)
+        if before is not None:
+            dropped(last)  # of the round before
         now = links.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

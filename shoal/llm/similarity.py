@@ -9,9 +9,11 @@
    two sets of ``b`` n-grams at most link only if they share a subset of ceil(3b/4).  The boundary between small and large is where the sum of subsets
    enumerated and list entries scanned is least.
 4. Members of a list are compared with its leader first.  Then only pairs that no chain of links joins yet are
-   compared, first with another leader, then all that are left.  So a list of many near copies costs about as many comparisons as it has members,
+   compared, first with another leader, then those that are left: of a list, members outside its leader's component with all others.
+   So a list of many near copies costs about as many comparisons as it has members,
    and no link between components is lost.  Before sets are compared, parity sketches tell how many n-grams they differ in at least:
-   what both have cancels out, so the bound is near the truth, and pairs that can't link aren't made.
+   what both have cancels out, so the bound is near the truth, and pairs that can't link aren't made.  Two sets that share many lists
+   are paired once, not once a list: each entry has the least hashes of its set's lists, which show that an earlier list has made the pair.
 
 Comparisons are exact (on hashes) and run in chunks of a bounded number of sets around a leader.
 """
@@ -33,15 +35,17 @@ from pyspark.sql import types as T
 
 from shoal.llm.arrowtext import append_columns, LOWER, NOT_SPACE, give_back, lean, mixed, text_bytes, text_slices, word_hashes, word_spans
 from shoal.llm.components import components
-from shoal.llm.storage import stored
+from shoal.llm.storage import dropped, stored
 
 WORDS, OVER, UNDER = 5, 3, 4  # words of an n-gram; linked from a similarity of OVER / UNDER on
 #: Hashes in a block, and sets in a chunk that is compared at once.
-BLOCK, CHUNK = 1_000_000, 256
+BLOCK, CHUNK = 1_000_000, 64
 #: Largest set that may count as small.
 SMALL = 15
 #: Bits of a parity sketch.
 SKETCH = 512
+#: Least hashes of a set's lists that its entries have.
+FEW = 8
 #: Bits of the filter that keeps most other texts from a join.
 FILTER_BITS = 1 << 23
 
@@ -90,6 +94,11 @@ def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
     return ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
 
 
+def _rest(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
+    """What tells hashes of a bucket apart, in 48 bits: with 65,536 buckets or more that is the whole hash, with fewer 48 bits and those of the number of buckets."""
+    return (grams & np.uint64(0xFFFFFFFF)).astype(np.uint32), ((grams >> np.uint64(32)) // np.uint64(buckets)).astype(np.uint16)
+
+
 def _packed(x) -> bytes:
     return zlib.compress(pickle.dumps(x, 5), 1)
 
@@ -103,40 +112,42 @@ _ROW_SQL = "key bigint, block bigint, part int, payload binary"
 
 
 def _blocks_out(block: int, head, grams: np.ndarray, sizes: np.ndarray, buckets: int) -> pa.RecordBatch:
-    """Rows of a block: its head, which a bucket only hands on, and the low halves of its hashes for each bucket."""
+    """Rows of a block: its head, which a bucket only hands on, and the rest of its hashes for each bucket."""
     bucket = _bucket(grams, buckets)
     owner = np.repeat(np.arange(len(sizes)), sizes)
     order = np.argsort(bucket, kind="stable")
     edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
-    low = (grams[order] & np.uint64(0xFFFFFFFF)).astype(np.uint32)
+    low, high = _rest(grams[order], buckets)
     rows = [(zlib.crc32(block.to_bytes(8, "big")) % buckets, block, -1, _packed(head))]
     for b in range(buckets):
         at = slice(edges[b], edges[b + 1])
         if at.stop > at.start:
             counts = np.bincount(owner[order[at]], minlength=len(sizes)).astype(np.uint32)
-            rows.append((b, block, b, len(p := _packed(counts)).to_bytes(4, "big") + p + low[at].tobytes()))
+            rows.append((b, block, b, len(p := _packed(counts)).to_bytes(4, "big") + p + low[at].tobytes() + high[at].tobytes()))
     return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _ROW.types, strict=True)], schema=_ROW)
 
 
 def _counted(table: pa.Table, whole: bool) -> pa.Table:
-    """A bucket: texts that have each hash. Back go, by block, its shared hashes by text, or if ``whole`` that number (255 at most) by hash."""
+    """A bucket: texts that have each hash. Back go, by block, its shared hashes by text, or if ``whole`` that number by hash."""
     out, blocks = [], []
     for key, block, part, payload in zip(*(c.to_pylist() for c in table.columns), strict=True):
         if part < 0:
             out.append((block, part, payload))
         else:
             n = int.from_bytes(payload[:4], "big")
-            blocks.append((block, part, _unpacked(payload[4 : 4 + n]), np.frombuffer(payload[4 + n :], np.uint32)))
+            size = (len(payload) - 4 - n) // 6
+            blocks.append((block, part, _unpacked(payload[4 : 4 + n]), np.frombuffer(payload, np.uint32, size, 4 + n).astype(np.uint64) | np.frombuffer(payload, np.uint16, size, 4 + n + 4 * size).astype(np.uint64) << np.uint64(32)))
     if blocks:
-        low = np.concatenate([b[3] for b in blocks])
-        order = np.argsort(low)
-        new = np.r_[True, low[order][1:] != low[order][:-1]]
-        at = np.flatnonzero(new)
-        count = np.empty(len(low), np.int64)
-        count[order] = np.repeat(np.diff(np.r_[at, len(low)]), np.diff(np.r_[at, len(low)]))
+        rest = np.concatenate([b[3] for b in blocks])
+        order = np.argsort(rest)
+        rest = rest[order]
+        at = np.flatnonzero(np.r_[True, rest[1:] != rest[:-1]])
+        size = np.diff(np.r_[at, len(rest)])
+        count = np.empty(len(rest), np.uint32)
+        count[order] = np.repeat(size, size)
         a = 0
         for block, part, counts, own in blocks:
-            mine = np.minimum(count[a : a + len(own)], 255).astype(np.uint8)
+            mine = count[a : a + len(own)]
             a += len(own)
             owner = np.repeat(np.arange(len(counts)), counts)
             out.append((block, part, _packed(mine if whole else np.bincount(owner, weights=mine > 1, minlength=len(counts)).astype(np.uint32))))
@@ -267,7 +278,7 @@ def prefixes(sets: DataFrame, buckets: int) -> DataFrame:
 
     def back(table: pa.Table) -> pa.Table:
         (reps, sizes, grams), parts = _by_block(table)
-        count = np.zeros(len(grams), np.uint8)
+        count = np.zeros(len(grams), np.uint32)
         order = np.argsort(_bucket(grams, buckets), kind="stable")
         count[order] = np.concatenate([parts[b] for b in sorted(parts)])
         rows = []
@@ -307,23 +318,28 @@ def boundary(found: DataFrame) -> int:
 
 
 def postings(found: DataFrame, limit: int) -> DataFrame:
-    """(key, rep, n, rank, sketch): list entries of large sets, and of small ones that may link with large ones; subsets of small sets."""
-    large = found.where(F.col("n") >= least_overlap(limit + 1)).select(F.explode("keys").alias("key"), "rep", "n", "rank", "sketch")
+    """(key, rep, n, rank, sketch, few): list entries of large sets, and of small ones that may link with large ones; subsets of small sets.
+
+    ``few``: the least hashes of the set's keys of the same sort.
+    """
+    few = F.slice(F.array_sort(F.transform("keys", lambda k: F.xxhash64(k))), 1, FEW).alias("few")
+    each = [F.explode("keys").alias("key"), "rep", "n", "rank", "sketch", "few"]
+    large = found.where(F.col("n") >= least_overlap(limit + 1)).select("keys", "rep", "n", "rank", "sketch", few).select(*each)
 
     def out(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, owner = [], []
-            for i, (n, grams) in enumerate(zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True)):
+            keys = []
+            for n, grams in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist(), strict=True):
+                own = []
                 for b in range(n, limit + 1):
                     c = least_overlap(b)
                     for subset in itertools.combinations(sorted(grams), c) if c <= len(grams) else ():
-                        keys.append(int.from_bytes(hashlib.blake2b(repr((b, subset)).encode(), digest_size=8).digest(), "big", signed=True))
-                        owner.append(i)
-            at = pa.array(owner, pa.int64())
-            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), *[batch.column(k).take(at) for k in (0, 1, 3, 4)]], names=["key", "rep", "n", "rank", "sketch"])
+                        own.append(int.from_bytes(hashlib.blake2b(repr((b, subset)).encode(), digest_size=8).digest(), "big", signed=True))
+                keys.append(own)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.list_(pa.int64())), *[batch.column(k) for k in (0, 1, 3, 4)]], names=["keys", "rep", "n", "rank", "sketch"])
 
-    light = found.where(F.col("n") <= limit).select("rep", "n", "small", "rank", "sketch").mapInArrow(out, "key bigint, rep bigint, n bigint, rank bigint, sketch array<bigint>")
-    return large.union(light)
+    light = found.where(F.col("n") <= limit).select("rep", "n", "small", "rank", "sketch").mapInArrow(out, "keys array<bigint>, rep bigint, n bigint, rank bigint, sketch array<bigint>")
+    return large.union(light.select("*", few).select(*each))
 
 
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -354,29 +370,35 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def linked_components(lists: DataFrame, sets: DataFrame) -> DataFrame:
-    """(node, label) of the sets that link, from their lists (key, rep, n, rank, sketch)."""
+    """(node, label) of the sets that link, from their lists (key, rep, n, rank, sketch, few)."""
     differ = sum((F.bit_count(F.get("x.sketch", F.lit(i)).bitwiseXOR(F.get("y.sketch", F.lit(i)))) for i in range(SKETCH // 64)), F.lit(0))
     # sets of n and m n-grams that link differ in (UNDER - OVER) / (UNDER + OVER) of n + m at most
     fits = (OVER * F.col("x.n") <= UNDER * F.col("y.n")) & (OVER * F.col("y.n") <= UNDER * F.col("x.n")) & ((UNDER + OVER) * differ <= (UNDER - OVER) * (F.col("x.n") + F.col("y.n")))
+    apart = F.col("x.label") != F.col("y.label")
     central = F.max(F.struct("rank", (-F.col("rep")).alias("back"), "rep", "n", "label", "sketch"))
     first = F.min(F.struct("rep", "n", "label", "sketch"))
     done = labels = None
     for leader in (central, first, None):
         rows = lists.withColumn("label", F.col("rep")) if labels is None else lists.join(labels.withColumnRenamed("node", "rep"), "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        open_lists = rows.groupBy("key").agg(*([] if leader is None else [leader.alias("x")]), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
-        apart = F.col("x.label") != F.col("y.label")
+        chosen = F.max_by(F.struct("label"), F.struct("rank", -F.col("rep"))) if leader is None else leader
+        open_lists = rows.groupBy("key").agg(chosen.alias("x"), F.min("label").alias("low"), F.max("label").alias("high")).where("low < high").select(F.col("key").alias("list"), "x")
         if leader is None:
-            open_rows = rows.join(open_lists.select("key"), "key")
-            pairs = open_rows.alias("x").join(open_rows.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x.rep") < F.col("y.rep")) & apart & fits)
+            # two sets in different components aren't both in that of the leader; that with the lower number goes where both are outside
+            outside = rows.join(open_lists, (F.col("key") == F.col("list")) & (F.col("label") != F.col("x.label"))).withColumn("main", F.col("x.label")).drop("x", "list")
+            once = (F.col("y.label") == F.col("x.main")) | (F.col("x.rep") < F.col("y.rep"))
+            earlier = F.array_min(F.array_intersect("x.few", "y.few")) < F.xxhash64("x.key")  # a list before this one that has both
+            pairs = outside.alias("x").join(rows.alias("y"), (F.col("x.key") == F.col("y.key")) & apart & once & fits & ~F.coalesce(earlier, F.lit(False)))
         else:
-            pairs = rows.alias("y").join(open_lists.select(F.col("key").alias("list"), "x"), (F.col("y.key") == F.col("list")) & apart & fits)
-        pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+            pairs = rows.alias("y").join(open_lists, (F.col("y.key") == F.col("list")) & apart & fits)
+        pairs = stored(pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct())
         if done is not None:
-            pairs = pairs.join(done, ["a", "b"], "left_anti")
-        pairs = stored(pairs)
+            new = stored(pairs.join(done, ["a", "b"], "left_anti"))
+            dropped(pairs)
+            pairs = new
         if pairs.isEmpty():
             continue
         result = stored(compared(pairs, sets))
+        dropped(pairs)
         done = result if done is None else done.union(result)
         labels = components(done.where("linked").select("a", "b"))
     return labels if labels is not None else lists.select(F.col("rep").alias("node"), F.col("rep").alias("label")).limit(0)
@@ -407,7 +429,8 @@ def _grouped(df: DataFrame, *, doc: str, text: str, width: int, buckets: int | N
     sets = stored(sets_of(df, classes.select("rep", "id", "digest"), doc=doc, text=text, width=width))
     found = stored(prefixes(sets, buckets))
     lists = stored(postings(found, boundary(found)))  # sketches travel with their sets' list entries
-    labels = linked_components(lists, sets)
+    labels = stored(linked_components(lists, sets))
+    dropped(sets, found, lists)
     named = classes.join(labels, classes["rep"] == labels["node"], "left").select("digest", "id", "extra", F.coalesce("label", "rep").alias("cluster"))
     if not classes.where("extra").isEmpty():
         named = stored(named)

@@ -9,9 +9,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """A new path below ``spark.checkpoint.dir``. Where that is unset, as in tests, below a local folder."""
+    """A new path below ``spark.checkpoint.dir``. Where that is unset, as in tests on one machine, below a local folder; on a cluster that is an error."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
+        if not spark.conf.get("spark.master", "local").startswith("local") or spark.conf.get("spark.master").startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = f"file://{tempfile.gettempdir()}/shoal-shared"
     return f"{root.rstrip('/')}/shoal-{uuid.uuid4().hex}"
 
@@ -20,4 +22,14 @@ def stored(df: DataFrame) -> DataFrame:
     """Writes a table to the shared folder and reads it again: lineage ends there, and a lost executor costs no step before it."""
     path = shared_folder(df.sparkSession)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.stored_at = path
+    return out
+
+
+def dropped(*tables: DataFrame) -> None:
+    """Deletes tables that ``stored`` has written and nothing reads any more."""
+    for df in tables:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df.stored_at)
+        path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
