@@ -15,6 +15,8 @@ SETTINGS = {
     "spark.sql.chunkBase64String.enabled": "false",
     "spark.sql.mapKeyDedupPolicy": "LAST_WIN",
     "spark.sql.python.filterPushdown.enabled": "true",
+    # batches of 10,000 rows of long texts or packed arrays take several times their size beside the heap
+    "spark.sql.execution.arrow.maxBytesPerBatch": "4194304",
 }
 _shipped: set[str] = set()
 
