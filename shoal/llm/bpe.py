@@ -7,6 +7,8 @@ its ids come back to all its places; see ``wordblocks``.
 from __future__ import annotations
 
 import base64
+import hashlib
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -29,8 +31,13 @@ def read_ranks(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in f if line.strip())}
 
 
-def _encoder(key: int, ranks: dict[bytes, int]):
-    """An encoder of whole words, once a process."""
+def ranks_digest(ranks: dict[bytes, int]) -> str:
+    """A digest of a whole vocabulary."""
+    return hashlib.sha256(repr(sorted(ranks.items())).encode()).hexdigest()
+
+
+def _encoder(key: str, ranks: dict[bytes, int]):
+    """An encoder of whole words, once a process for each vocabulary."""
     if key not in _encoders:
         import tiktoken
 
@@ -40,13 +47,21 @@ def _encoder(key: int, ranks: dict[bytes, int]):
 
 
 def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc: str = "doc_id", text: str = "text", ids: str = "ids", buckets: int | None = None) -> DataFrame:
-    """(doc, ids) of each row: the token ids of its whole text. A null or empty text has none; repeated rows are encoded each."""
+    """(doc, ids) of each row: the token ids of its whole text.
+
+    A null or empty text has none, however long a text is it is encoded whole; repeated rows are encoded each, rows without an id too; an empty table gives no rows.
+    Other columns are left out.
+    """
     shared = df.sparkSession.sparkContext.broadcast(ranks)  # a vocabulary: of fixed size
-    key = hash(frozenset(list(ranks.items())[:100])) ^ len(ranks)
+    key = ranks_digest(ranks)
 
-    def work(words: list[str]) -> list[np.ndarray]:
-        encode = _encoder(key, shared.value).encode_ordinary
-        return [np.array(encode(w), np.int64) for w in words]
+    def work(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        encode, size, flat = _encoder(key, shared.value).encode_ordinary, array("q"), array("i")
+        for w in words:
+            found = encode(w)
+            size.append(len(found))
+            flat.extend(found)
+        return np.array(size, np.int64), np.array(flat, np.int64)
 
     def finish(docs: list[int], counts: np.ndarray, place: np.ndarray, values: np.ndarray, offsets: np.ndarray) -> pa.Table:
         size = np.r_[0, np.cumsum((offsets[1:] - offsets[:-1])[place])]
@@ -79,6 +94,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", decoded:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = shared.value
+        _encoders.clear()  # of a step before, in the same worker
         for batch in batches:
             lists = batch.column(len(keep))
             ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))

@@ -15,7 +15,7 @@
    what both have cancels out, so the bound is near the truth, and pairs that can't link aren't made.  Two sets that share many lists
    are paired once, not once a list: each entry has the least hashes of its set's lists, which show that an earlier list has made the pair.
 
-Comparisons are exact (on hashes) and run in chunks of a bounded number of sets around a leader.
+Comparisons are exact (on hashes) and run in tiles of a bounded number of sets on either side.
 """
 
 from __future__ import annotations
@@ -38,7 +38,7 @@ from shoal.llm.components import components
 from shoal.llm.storage import dropped, stored
 
 WORDS, OVER, UNDER = 5, 3, 4  # words of an n-gram; linked from a similarity of OVER / UNDER on
-#: Hashes in a block, and sets in a chunk that is compared at once.
+#: Hashes in a block, and sets on either side of a tile that is compared at once.
 BLOCK, CHUNK = 1_000_000, 64
 #: Largest set that may count as small.
 SMALL = 15
@@ -345,13 +345,18 @@ def postings(found: DataFrame, limit: int) -> DataFrame:
 def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b, linked) of pairs (a, b), from their sets.
 
-    The sets ``b`` of a common ``a`` meet it in chunks; a set travels once as ``b``, and once to each chunk that needs it as ``a``.
+    Pairs are kept by the least partner of ``b``, in tiles of some ``CHUNK`` sets ``a`` and ``CHUNK`` sets ``b``: a set travels once to each tile that has a pair of it, and
+    no tile grows with a group.
     """
-    by_b = pairs.groupBy("b").agg(F.min("a").alias("home"), F.collect_set("a").alias("all"))  # an n-gram or subset of b has brought each
-    chunks = by_b.groupBy("home").agg(F.ceil(F.count("*") / CHUNK).alias("chunks"))
-    placed = stored(by_b.join(chunks, "home").select("home", F.pmod(F.xxhash64("b"), "chunks").alias("chunk"), "b", "all"))
-    members = placed.join(sets.select(F.col("rep").alias("b"), F.col("grams").alias("g")), "b").select("home", "chunk", "b", "all", "g")
-    leaders = placed.select("home", "chunk", F.explode("all").alias("a")).distinct().join(sets.select(F.col("rep").alias("a"), F.col("grams").alias("g")), "a").select(F.col("home").alias("home of a"), F.col("chunk").alias("chunk of a"), "a", "g")
+    home = pairs.groupBy("b").agg(F.min("a").alias("home"))
+    homed = pairs.join(home, "b")
+    tiles = lambda c: F.ceil(F.count_distinct(c) / CHUNK)
+    sizes = homed.groupBy("home").agg(tiles("b").alias("down"), tiles("a").alias("across"))
+    tile = F.struct("home", F.pmod(F.xxhash64("b"), "down").alias("row"), F.pmod(F.xxhash64("a"), "across").alias("column"))
+    placed = stored(homed.join(sizes, "home").select(tile.alias("tile"), "a", "b"))
+    grams = lambda c: sets.select(F.col("rep").alias(c), F.col("grams").alias("g"))
+    members = placed.groupBy("tile", "b").agg(F.collect_set("a").alias("all")).join(grams("b"), "b").select("tile", "b", "all", "g")
+    leaders = placed.select(F.col("tile").alias("tile of a"), "a").distinct().join(grams("a"), "a").select("tile of a", "a", "g")
 
     def meet(left: pa.Table, right: pa.Table) -> pa.Table:
         own = dict(zip(left.column("a").to_pylist(), (np.frombuffer(g.as_buffer(), np.uint64) for g in left.column("g")), strict=True))
@@ -366,7 +371,7 @@ def compared(pairs: DataFrame, sets: DataFrame) -> DataFrame:
         columns = zip(*rows, strict=True) if rows else ([], [], [])
         return pa.table([pa.array(c, t) for c, t in zip(columns, (pa.int64(), pa.int64(), pa.bool_()), strict=True)], names=["a", "b", "linked"])
 
-    return leaders.groupBy("home of a", "chunk of a").cogroup(members.groupBy("home", "chunk")).applyInArrow(lambda x, y: lean(meet, x, y), "a bigint, b bigint, linked boolean")
+    return leaders.groupBy("tile of a").cogroup(members.groupBy("tile")).applyInArrow(lambda x, y: lean(meet, x, y), "a bigint, b bigint, linked boolean")
 
 
 def linked_components(lists: DataFrame, sets: DataFrame) -> DataFrame:

@@ -2,7 +2,11 @@
 
 The forward score of a place in a word is the best sum of piece scores that spell its beginning.  Words with a common beginning share those
 scores: a bucket's distinct words are put in a trie, scores are worked out once for each of its nodes, and a word's count is read
-at its last node.  Counts come back to the texts by the exchange of distinct words in ``wordblocks``.
+at its last node.  Words go to buckets by their first bytes, just so many that there are far more beginnings than buckets: so words with a longer
+common beginning meet in one bucket, whatever the number of buckets, and its scores are worked out once for the corpus.  Counts come back to the
+texts by the exchange of distinct words in ``wordblocks``.
+
+Scores are a parameter. No public file at hand has those of a unigram model, and tokenizers aren't trained here, so the registered query derives them from a public order of ranks.
 """
 
 from __future__ import annotations
@@ -55,20 +59,30 @@ def count_tokens(words: list[str], scores: dict[bytes, float]) -> list[int]:
     return out
 
 
+def beginning(buckets: int) -> int:
+    """Bytes of a word that decide its bucket: so many that there are some 16 beginnings a bucket, at 16 that go on from each."""
+    size, found = 1, 1
+    while found < 16 * buckets:
+        size, found = size + 1, 16 * found
+    return size
+
+
 def token_counts(df: DataFrame, scores: dict[bytes, float], pattern: str, *, doc: str = "doc_id", text: str = "text", buckets: int | None = None) -> DataFrame:
     """(doc, n_words, n_tokens) of each row: pre-tokens of its whole text, and their pieces.
 
-    A null or empty text has none; repeated rows are counted each; an empty table gives no rows.
+    A null or empty text has none; repeated rows are counted each, rows without an id too; an empty table gives no rows. Other columns are left out.
     """
+    buckets = buckets or 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    first = beginning(buckets)
     shared = df.sparkSession.sparkContext.broadcast(scores)  # a vocabulary: of fixed size
 
-    def work(words: list[str]) -> list[np.ndarray]:
-        return list(np.array(count_tokens(words, shared.value), np.int64).reshape(-1, 1))
+    def work(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        return np.ones(len(words), np.int64), np.array(count_tokens(words, shared.value), np.int64)
 
     def finish(docs: list[int], counts: np.ndarray, place: np.ndarray, values: np.ndarray, offsets: np.ndarray) -> pa.Table:
         total = np.r_[0, np.cumsum(values[place])]
         ends = np.cumsum(counts)
         return pa.table([pa.array(docs, pa.int64()), pa.array(counts), pa.array(total[ends] - total[ends - counts])], names=["doc", "n_words", "n_tokens"])
 
-    found = word_values(df, doc, text, pattern, work, finish, "doc bigint, n_words bigint, n_tokens bigint", buckets)
+    found = word_values(df, doc, text, pattern, work, finish, "doc bigint, n_words bigint, n_tokens bigint", buckets, lambda word: word[:first])
     return found.select(F.col("doc").alias(doc), "n_words", "n_tokens")

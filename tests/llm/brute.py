@@ -86,12 +86,11 @@ def similar(docs, width=5):
     return {d: (len(s), find(d)) for d, s in sets.items()}
 
 
-def unigram_count(word: bytes, scores):
-    """Pieces of the best segmentation of one word, by itself."""
-    lonely = min(scores.values()) - 10.0
+def unigram_count(word: bytes, scores, longest, lonely):
+    """Pieces of the best segmentation of one word, by itself; ``longest``: bytes of the longest piece, ``lonely``: of a byte without a piece."""
     best = [(0.0, 0)]
     for end in range(1, len(word) + 1):
-        options = [(best[s][0] + scores[word[s:end]], best[s][1] - 1) for s in range(end) if word[s:end] in scores]
+        options = [(best[s][0] + scores[word[s:end]], best[s][1] - 1) for s in range(max(0, end - longest), end) if word[s:end] in scores]
         if word[end - 1 : end] not in scores:
             options.append((best[end - 1][0] + lonely, best[end - 1][1] - 1))
         best.append(max(options))
