@@ -11,8 +11,8 @@ def _column(c: Column | str) -> Column:
 
 
 def url_decode(c: Column | str) -> Column:
-    """Form decoding: a plus sign is a space."""
-    return F.url_decode(_column(c))
+    """Form decoding: a plus sign is a space. A malformed code gives null."""
+    return F.try_url_decode(_column(c))
 
 
 def url_encode(c: Column | str) -> Column:
@@ -29,12 +29,13 @@ def encode_key(c: Column | str) -> Column:
 
 
 def parse_tags(c: Column | str) -> Column:
-    """The map of a tag string. Percent decoding only; a missing value is empty, the last of equal keys counts, more than one ``=`` in a tag gives null."""
-    decode = lambda x: F.url_decode(F.replace(x, F.lit("+"), F.lit("%2B")))
+    """The map of a tag string. Percent decoding only; a missing value is empty, the last of equal keys counts, more than one ``=`` in a tag or a malformed code gives null."""
+    decode = lambda x: F.try_url_decode(F.replace(x, F.lit("+"), F.lit("%2B")))
     pairs = F.transform(F.split(_column(c), "&"), lambda t: F.split(t, "="))
     entry = lambda p: F.struct(decode(p[0]).alias("key"), decode(F.coalesce(F.get(p, F.lit(1)), F.lit(""))).alias("value"))
     last = lambda p, i: ~F.exists(F.slice(pairs, i + 2, F.size(pairs)), lambda q: decode(q[0]) == decode(p[0]))
-    return F.when(~F.exists(pairs, lambda p: F.size(p) > 2), F.map_from_entries(F.transform(F.filter(pairs, last), entry)))
+    good = lambda p: (F.size(p) <= 2) & F.forall(p, lambda x: decode(x).isNotNull())
+    return F.when(F.forall(pairs, good), F.map_from_entries(F.transform(F.filter(pairs, last), entry)))
 
 
 def encode_tags(c: Column | str) -> Column:
@@ -42,6 +43,39 @@ def encode_tags(c: Column | str) -> Column:
     return F.array_join(F.transform(F.array_sort(F.map_entries(_column(c))), lambda e: F.concat(url_encode(e["key"]), F.lit("="), url_encode(e["value"]))), "&")
 
 
+def query_string(c: Column | str) -> Column:
+    """The query string of an array of (key, value), in its order."""
+    return F.array_join(F.transform(_column(c), lambda e: F.concat(url_encode(e["key"]), F.lit("="), url_encode(e["value"]))), "&")
+
+
+def b64_encode(c: Column | str) -> Column:
+    return F.base64(_column(c).cast("binary"))
+
+
+def hex_encode(c: Column | str) -> Column:
+    return F.lower(F.hex(_column(c).cast("binary")))
+
+
+def uint32(c: Column | str) -> Column:
+    """The big-endian number of the first four bytes; null with fewer."""
+    x = F.substring(_column(c).cast("binary"), 1, 4)
+    return F.when(F.octet_length(x) == 4, F.conv(F.hex(x), 16, 10).cast("bigint"))
+
+
+def xml_escape(c: Column | str) -> Column:
+    """Text as it stands in an XML element or attribute."""
+    x = _column(c)
+    for a, b in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;"), ('"', "&quot;"), ("'", "&apos;")):
+        x = F.replace(x, F.lit(a), F.lit(b))
+    return x
+
+
+def quoted_etag(c: Column | str) -> Column:
+    """A tag as a condition names it: in quotes, but for the star that any tag matches."""
+    x = _column(c)
+    return F.when(x == "*", x).otherwise(F.concat(F.lit('"'), x, F.lit('"')))
+
+
 def trim_quotes(c: Column | str) -> Column:
     """Without one pair of double quotes, if there is one at both ends."""
     x = _column(c)
@@ -61,6 +95,13 @@ def parse_iso8601(c: Column | str) -> Column:
     return F.coalesce(F.try_to_timestamp(x, F.lit(_MILLIS)), F.try_to_timestamp(x, F.lit(_SECONDS)))
 
 
+def parse_rfc3339(c: Column | str) -> Column:
+    """A time with an offset or ``Z``, with or without parts of a second; null for anything else."""
+    x = _column(c)
+    shape = r"^\d{4}-\d{2}-\d{2}[Tt]\d{2}:\d{2}:\d{2}(\.\d+)?([Zz]|[+-]\d{2}:\d{2})$"
+    return F.when(x.rlike(shape), F.upper(x).try_cast("timestamp"))
+
+
 def format_iso8601(c: Column | str) -> Column:
     return F.date_format(_column(c), _MILLIS)
 

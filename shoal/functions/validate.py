@@ -14,21 +14,26 @@ def _first(*rules: tuple[Column, str]) -> Column:
     return F.coalesce(*[F.when(broken, F.lit(name)) for broken, name in rules])
 
 
+#: What a bucket's name looks like, by the public rules of object stores.
+STRICT_NAME = r"^[a-z0-9][a-z0-9.\-]{1,61}[a-z0-9]$"
+RELAXED_NAME = r"^[A-Za-z0-9][A-Za-z0-9.\-_:]{1,61}[A-Za-z0-9]$"
+
+
+def is_ipv4(c: Column | str) -> Column:
+    """Four numbers of 0 to 255, without leading zeros, with dots between."""
+    octet = lambda p: p.rlike("^(0|[1-9][0-9]*)$") & F.coalesce(p.try_cast("int") <= 255, F.lit(False))
+    parts = F.split(_column(c), r"\.")
+    return (F.size(parts) == 4) & F.forall(parts, octet)
+
+
 def bucket_name_error(c: Column | str, *, strict: bool = True) -> Column:
-    """Rules of bucket names, of the trimmed name; lengths are in bytes."""
-    x = F.trim(F.coalesce(_column(c), F.lit("")))
-    rules = [
-        (x == "", "empty"),
-        (F.octet_length(x) < 3, "too_short"),
-        (F.octet_length(x) > 63, "too_long"),
-        (x.rlike(r"^(\d+\.){3}\d+$"), "ip_address"),
-        (x.contains("..") | x.contains(".-") | x.contains("-."), "successive_characters"),
-    ]
-    if strict:
-        rules += [(~x.rlike(r"^[a-z0-9][a-z0-9.\-]{1,61}[a-z0-9]$"), "characters"), (x.startswith("xn--"), "prefix_xn"), (x.startswith("sthree-"), "prefix_sthree"), (x.endswith("-s3alias"), "suffix_alias")]
-    else:
-        rules += [(~x.rlike(r"^[A-Za-z0-9][A-Za-z0-9.\-_:]{1,61}[A-Za-z0-9]$"), "characters")]
-    return _first(*rules)
+    """Rules of bucket names, of the name without white space around it; lengths are in bytes."""
+    x = F.regexp_replace(F.coalesce(_column(c), F.lit("")), r"(?U)^\s+|\s+$", "")
+    size = F.octet_length(x)
+    rules = [(size == 0, "empty"), (size < 3, "too_short"), (size > 63, "too_long"), (is_ipv4(x), "ip_address"), (x.rlike(r"\.\.|\.-|-\."), "successive_characters")]
+    if not strict:
+        return _first(*rules, (~x.rlike(RELAXED_NAME), "characters"))
+    return _first(*rules, (~x.rlike(STRICT_NAME), "characters"), (x.startswith("xn--"), "prefix_xn"), (x.startswith("sthree-"), "prefix_sthree"), (x.endswith("-s3alias"), "suffix_alias"))
 
 
 def object_key_error(c: Column | str) -> Column:
@@ -36,15 +41,19 @@ def object_key_error(c: Column | str) -> Column:
     return _first((F.octet_length(x) < 1, "empty"), (F.octet_length(x) > 1024, "too_long"))
 
 
-def is_hostname(c: Column | str) -> Column:
+def is_label(c: Column | str) -> Column:
+    """1 to 63 letters, digits, hyphens and underscores, of which the last two are neither first nor last."""
     x = _column(c)
-    edge = lambda p: p.rlike("^[-_]") | p.rlike("[-_]$")
-    return x.rlike(r"^([A-Za-z_0-9-]{1,63}\.)*([A-Za-z_0-9-]{1,63})$") & ~F.exists(F.split(x, r"\."), edge)
+    return F.length(x).between(1, 63) & ~x.rlike("[^A-Za-z0-9_-]") & ~F.substring(x, 1, 1).isin("-", "_") & ~F.substring(x, -1, 1).isin("-", "_")
+
+
+def is_hostname(c: Column | str) -> Column:
+    """Labels with dots between."""
+    return F.forall(F.split(_column(c), r"\."), is_label)
 
 
 def is_invalid_region(c: Column | str) -> Column:
-    x = _column(c)
-    return ~x.rlike(r"^[A-Za-z_0-9-]{1,63}$") | x.rlike("^[-_]") | x.rlike("[-_]$")
+    return ~is_label(c)
 
 
 def parse_bool(c: Column | str) -> Column:

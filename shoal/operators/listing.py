@@ -44,22 +44,56 @@ def listing(objects: DataFrame, prefix: str = "", *, delimiter: str | None = Non
 
 
 def page(entries: DataFrame, *, after: str | None = None, limit: int = MAX_KEYS) -> DataFrame:
-    """The first entries by key beyond a marker: keyset paging, as a top-k and not a sort of all. One more row tells whether the page is truncated."""
+    """The first entries by key beyond a marker: keyset paging, as a top-k and not a sort of all."""
     if not 1 <= limit <= MAX_KEYS:
         raise ValueError(f"a page has 1 to {MAX_KEYS} keys")
     return (entries.where(F.col("key") > after) if after is not None else entries).orderBy("key").limit(limit)
 
 
+def _with_state(rows: DataFrame, order: list[Column], limit: int, **markers: Column) -> DataFrame:
+    """The first rows of a page that has one more; each says whether there is one more, and then where the next page starts. The rows are a page's, so one task sees them."""
+    every = Window.partitionBy(F.lit(0))
+    placed = rows.withColumn("place", F.row_number().over(every.orderBy(*order))).withColumn("is_truncated", F.max("place").over(every) > limit)
+    last = {name: F.when(F.col("is_truncated"), F.max(F.when(F.col("place") == limit, c)).over(every)) for name, c in markers.items()}
+    return placed.withColumns(last).where(F.col("place") <= limit).drop("place")
+
+
+def page_with_state(entries: DataFrame, *, after: str | None = None, limit: int = MAX_KEYS) -> DataFrame:
+    """A page, with ``is_truncated`` and ``next_marker`` (null on the last page) in each row. The marker is the last entry's key; prefixes count as entries."""
+    if not 1 <= limit <= MAX_KEYS:
+        raise ValueError(f"a page has 1 to {MAX_KEYS} keys")
+    rows = (entries.where(F.col("key") > after) if after is not None else entries).orderBy("key").limit(limit + 1)
+    return _with_state(rows, [F.col("key")], limit, next_marker=F.col("key"))
+
+
+def versions_page(versions: DataFrame, *, key_marker: str | None = None, version_marker: str | None = None, limit: int = MAX_KEYS) -> DataFrame:
+    """A page of versions and delete markers by key, the newest first, with ``is_truncated``, ``next_key_marker`` and ``next_version_marker`` in each row.
+
+    It begins beyond a version of a key, or with only a key beyond all of its versions.
+    """
+    if version_marker is not None and key_marker is None:
+        raise ValueError("a version marker needs a key marker")
+    rows, number = versions, F.col("version_id").cast("bigint")
+    if key_marker is not None:
+        beyond = F.col("key") > key_marker
+        at = versions.where((F.col("key") == key_marker) & (F.col("version_id") == version_marker)).select("last_modified", number.alias("n")).first() if version_marker is not None else None
+        if at:
+            beyond = beyond | (F.col("key") == key_marker) & ((F.col("last_modified") < F.lit(at["last_modified"]).cast("timestamp_ntz")) | (F.col("last_modified") == F.lit(at["last_modified"]).cast("timestamp_ntz")) & (number < at["n"]))
+        rows = versions.where(beyond)
+    order = [F.col("key"), F.desc("last_modified"), number.desc()]
+    return _with_state(rows.orderBy(*order).limit(limit + 1), order, limit, next_key_marker=F.col("key"), next_version_marker=F.col("version_id"))
+
+
 def pages(entries: DataFrame, limit: int = MAX_KEYS):
-    """All pages one after another, until one isn't full."""
+    """All pages one after another, until one isn't truncated. A marker that doesn't move on ends them, too."""
     after = None
     while True:
-        rows = page(entries, after=after, limit=limit).collect()
+        rows = page_with_state(entries, after=after, limit=limit).orderBy("key").collect()
         if rows:
             yield rows
-        if len(rows) < limit:
+        if not rows or not rows[0]["is_truncated"] or rows[0]["next_marker"] == after:
             return
-        after = rows[-1]["key"]
+        after = rows[0]["next_marker"]
 
 
 def latest(versions: DataFrame) -> DataFrame:

@@ -15,14 +15,14 @@ BROADCAST_RULES = 10_000
 
 def matched(objects: DataFrame, rules: DataFrame, *, key: str = "key", prefix: str = "prefix") -> DataFrame:
     """Every object with each rule whose prefix its key has; a null prefix is the empty one."""
-    ready = rules.withColumn(prefix, F.coalesce(F.col(prefix), F.lit("")))
-    size = ready.agg(F.count("*").alias("n"), F.collect_set(F.length(prefix)).alias("lengths")).first()  # distinct lengths: 1024 at most, as keys have
+    ready = rules.withColumn(prefix, F.coalesce(F.col(f"`{prefix}`"), F.lit("")))
+    size = ready.agg(F.count("*").alias("n"), F.collect_set(F.length(F.col(f"`{prefix}`"))).alias("lengths")).first()  # distinct lengths: 1024 at most, as keys have
     lengths = sorted(size["lengths"])
     if not lengths:
-        return objects.join(ready, F.lit(False))
+        return objects.withColumn("rule prefix", F.lit(None).cast("string")).join(ready, F.col("rule prefix") == F.col(prefix)).drop("rule prefix")
     starts = F.array_distinct(F.transform(F.filter(F.array(*[F.lit(n) for n in lengths]), lambda n: n <= F.length(key)), lambda n: F.substring(F.col(key), F.lit(1), n)))
     side = F.broadcast(ready) if size["n"] <= BROADCAST_RULES else ready
-    return objects.withColumn("rule prefix", F.explode(starts)).join(side, F.col("rule prefix") == F.col(prefix)).drop("rule prefix")
+    return objects.withColumn("rule prefix", F.explode(starts)).join(side, F.col("rule prefix") == F.col(f"`{prefix}`")).drop("rule prefix")
 
 
 def tags_match(tags: Column, wanted: Column) -> Column:
@@ -74,6 +74,47 @@ def noncurrent_expirations(versions: DataFrame, rules: DataFrame, now: Column) -
     return rows.where((F.col("due_at") <= now) & (F.col("newer") >= F.coalesce(F.col("keep_newer"), F.lit(0)))).groupBy("key", "version_id").agg(F.min(F.struct("due_at", "rule_id")).alias("x")).select("key", "version_id", "x.rule_id", "x.due_at")
 
 
+def noncurrent_transitions(versions: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
+    """(key, version_id, rule_id, target, due_at): the latest due change of a noncurrent version's class. ``rules``: rule_id, prefix, days, keep_newer, target, enabled."""
+    rows = matched(noncurrent(versions), rules.where("enabled")).withColumn("due_at", F.col("succeeded_at") + F.make_dt_interval(F.col("days")))
+    found = rows.where((F.col("due_at") <= now) & (F.col("newer") >= F.coalesce(F.col("keep_newer"), F.lit(0))))
+    return found.groupBy("key", "version_id").agg(F.max(F.struct("due_at", "rule_id", "target")).alias("x")).select("key", "version_id", "x.rule_id", "x.target", "x.due_at")
+
+
+def newest(versions: DataFrame) -> DataFrame:
+    """(key, version_id, last_modified, is_delete_marker, versions): the newest version of each key, and how many there are. One aggregation, no window."""
+    order = F.struct("last_modified", F.col("version_id").cast("bigint"))
+    return versions.groupBy("key").agg(F.max_by(F.struct("version_id", "last_modified", "is_delete_marker"), order).alias("x"), F.count("*").alias("versions")).select("key", "x.*", "versions")
+
+
+def delete_marker_expirations(versions: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
+    """(key, version_id, rule_id, due_at) of newest versions that are delete markers and go. ``rules``: rule_id, prefix, lone, days, enabled.
+
+    ``lone``: a marker without older versions goes at once; ``days``: any marker goes so many days after it was made.
+    """
+    rows = matched(newest(versions).where("is_delete_marker"), rules.where("enabled"))
+    at = F.least(F.when(F.col("lone") & (F.col("versions") == 1), F.col("last_modified")), F.col("last_modified") + F.make_dt_interval(F.col("days")))
+    found = rows.withColumn("due_at", at).where(F.col("due_at") <= now)
+    return found.groupBy("key").agg(F.min(F.struct("due_at", "rule_id", "version_id")).alias("x")).select("key", "x.version_id", "x.rule_id", "x.due_at")
+
+
+def all_versions_expirations(versions: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
+    """(key, version_id, rule_id, due_at) of every version of keys whose newest version is old enough. ``rules``: rule_id, prefix, days, delete_marker, enabled.
+
+    Keys whose newest version is a delete marker are meant by rules with ``delete_marker`` only.
+    """
+    rows = matched(newest(versions), rules.where("enabled")).withColumn("due_at", F.col("last_modified") + F.make_dt_interval(F.col("days")))
+    found = rows.where((F.col("due_at") <= now) & (~F.col("is_delete_marker") | F.coalesce(F.col("delete_marker"), F.lit(False))))
+    due_keys = found.groupBy("key").agg(F.min(F.struct("due_at", "rule_id")).alias("x"))
+    return versions.join(due_keys, "key").select("key", "version_id", "x.rule_id", "x.due_at")
+
+
+def aborted_uploads(uploads: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
+    """(upload_id, key, rule_id, due_at) of unfinished uploads (upload_id, key, initiated) that a rule ends days after their start. ``rules``: rule_id, prefix, days, enabled."""
+    rows = matched(uploads, rules.where("enabled")).withColumn("due_at", F.col("initiated") + F.make_dt_interval(F.col("days"))).where(F.col("due_at") <= now)
+    return rows.groupBy("upload_id", "key").agg(F.min(F.struct("due_at", "rule_id")).alias("x")).select("upload_id", "key", "x.rule_id", "x.due_at")
+
+
 def retain_until(last_modified: Column, days: Column, years: Column) -> Column:
     """The end of a retention, of which exactly one of days and years is given; else null."""
     one = days.isNotNull() != years.isNotNull()
@@ -85,9 +126,9 @@ def locked(hold: Column, until: Column, now: Column) -> Column:
 
 
 def replication_targets(objects: DataFrame, rules: DataFrame) -> DataFrame:
-    """(key, rule_id, destination) of the enabled matching rule with the highest priority for each destination; ties go to the first id."""
+    """(key, rule_id, destination) of the enabled matching rule with the highest priority for each destination; ties go to the first by ``order``."""
     rows = matched(objects, rules.where("enabled"))
-    return rows.groupBy("key", "destination").agg(F.max_by("rule_id", F.struct("priority", F.col("order"))).alias("rule_id"))
+    return rows.groupBy("key", "destination").agg(F.max_by("rule_id", F.struct("priority", -F.col("order"))).alias("rule_id"))
 
 
 def event_matches(event: Column, pattern: Column) -> Column:
@@ -126,17 +167,20 @@ def policy_allowed(requests: DataFrame, statements: DataFrame, *, mode: str = "s
     ``strict``: a matching Deny forbids; else the owner, or a matching Allow, is allowed. ``reference`` does as the reference's placeholder does: a
     statement matches by action and by its resource naming the bucket; a Deny statement that does not match forbids.
     """
-    n = statements.count()
-    side = F.broadcast(statements) if n <= BROADCAST_RULES else statements
-    # actions are compared as an equality where they have no wildcard, so requests meet few statements
+    rules = statements.select("effect", *[F.col(c).alias(f"rule {c}") for c in ("principal", "action", "resource") if c in statements.columns])
     if mode == "reference":
-        hit = (F.col("r.action") == F.col("s.action")) & F.col("s.resource").contains(F.col("r.bucket"))
+        side = F.broadcast(rules) if rules.count() <= BROADCAST_RULES else rules
+        hits = requests.join(side, F.col("action") == F.col("rule action")).where(F.col("rule resource").contains(F.col("bucket")))
     else:
-        hit = glob(F.col("r.action"), F.col("s.action")) & glob(F.col("r.resource"), F.col("s.resource")) & ((F.col("s.principal") == "*") | (F.col("s.principal") == F.col("r.principal")))
-    hits = requests.alias("r").join(side.alias("s"), hit).groupBy("r.request_id").agg(F.count_if(F.col("s.effect") == "Deny").alias("denies"), F.count_if(F.col("s.effect") == "Allow").alias("allows"))
-    denies = statements.where("effect = 'Deny'").count()
-    joined = requests.join(hits, "request_id", "left").na.fill(0, ["denies", "allows"])
-    forbidden = F.col("denies") < denies if mode == "reference" else F.col("denies") > 0
+        # a request meets statements by an equality: of what an action begins with before its first wildcard, or the resource where that is nothing
+        rules = rules.withColumns({f"begin {c}": F.regexp_extract(f"rule {c}", "^[^*?]*", 0) for c in ("action", "resource")})
+        by_action = matched(requests, rules.where("`begin action` <> ''"), key="action", prefix="begin action")
+        by_resource = matched(requests, rules.where("`begin action` = ''"), key="resource", prefix="begin resource")
+        fits = glob(F.col("action"), F.col("rule action")) & glob(F.col("resource"), F.col("rule resource")) & F.col("rule principal").isin("*", F.col("principal"))
+        hits = by_action.unionByName(by_resource).where(fits)
+    counted = hits.groupBy("request_id").agg(F.count_if(F.col("effect") == "Deny").alias("denies"), F.count_if(F.col("effect") == "Allow").alias("allows"))
+    joined = requests.join(counted, "request_id", "left").na.fill(0, ["denies", "allows"])
+    forbidden = F.col("denies") < statements.where("effect = 'Deny'").count() if mode == "reference" else F.col("denies") > 0
     return joined.withColumn("allowed", ~forbidden & (F.col("owner") | (F.col("allows") > 0))).drop("denies", "allows")
 
 
@@ -151,3 +195,10 @@ def qos_rule(events: DataFrame, rules: DataFrame) -> DataFrame:
     rows = matched(events, rules).where(F.col("api") == F.col("event_name"))
     best = rows.groupBy("event_id").agg(F.max_by(F.struct("rule_id", "rate"), F.struct("priority", -F.col("order"))).alias("x"))
     return events.join(best, "event_id", "left").select(events["*"], "x.rule_id", "x.rate")
+
+
+def counters(events: DataFrame, *by: str, at: Column, time: str, kinds: dict[str, Column]) -> DataFrame:
+    """For each group, how many events of each kind there were in the minute and the hour up to a time, and in all: one aggregation with partial sums."""
+    upto, moment = F.col(time) <= at, F.col(time)
+    spans = {"last_minute": (moment > at - F.expr("interval 1 minute")) & upto, "last_hour": (moment > at - F.expr("interval 1 hour")) & upto, "all": F.lit(True)}
+    return events.groupBy(*by).agg(*[F.count_if(is_kind & inside).alias(f"{kind}_{span}") for kind, is_kind in kinds.items() for span, inside in spans.items()])

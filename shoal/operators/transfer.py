@@ -5,11 +5,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoal.sources.storage import stored
+
 KIB, MIB, GIB = 1 << 10, 1 << 20, 1 << 30
 MIN_PART, MAX_PART, DEFAULT_PART, MAX_PARTS = 5 * MIB, 5 * GIB, 64 * MIB, 10_000
 MAX_OBJECT = MAX_PART * MAX_PARTS
-#: Keys of a request to delete.
-DELETE_BATCH = 1000
+#: Keys of a request to delete, and parts of a page of attributes.
+DELETE_BATCH = MAX_KEYS = 1000
 
 
 def part_error(size: Column, part: Column) -> Column:
@@ -25,11 +27,10 @@ def part_error(size: Column, part: Column) -> Column:
 
 
 def planned_part(size: Column, part: Column) -> Column:
-    """The part size that is used: as asked for, or the default, grown in steps of the smallest part if there would be too many; never more than the object."""
+    """The part size that is used: as asked for, or the default, grown in steps of the smallest part if there would be too many, and never more than the object."""
     grown = F.ceil(F.ceil(size / MAX_PARTS) / MIN_PART) * MIN_PART
     free = F.when(size <= DEFAULT_PART * MAX_PARTS, F.lit(DEFAULT_PART)).otherwise(grown)
-    wanted = F.coalesce(part, free).cast("bigint")
-    return F.coalesce(F.least(wanted, size), wanted)
+    return F.coalesce(part, F.least(free, size)).cast("bigint")
 
 
 def planned_parts(size: Column, part: Column) -> Column:
@@ -47,6 +48,8 @@ def ranges(size: Column, part: Column) -> Column:
 def compose(sources: DataFrame, *, by: str, order: str, part: int = MAX_PART) -> DataFrame:
     """Plans a target of several sources (size, offset, length; the last two may be null): a row for each source, with its first part number, parts, bytes and ``error``.
 
+    All parts of a target but the last have the smallest size at least: so a source before the last must, and what is left of it after whole parts.
+
     Running sums go over a target's sources only.
     """
     start, available = F.coalesce(F.col("offset"), F.lit(0)), F.col("size")
@@ -58,6 +61,7 @@ def compose(sources: DataFrame, *, by: str, order: str, part: int = MAX_PART) ->
         F.when(F.col("take") > available, F.lit("length")),
         F.when(start + F.col("take") > available, F.lit("range")),
         F.when(~F.col("last") & (F.col("take") < MIN_PART), F.lit("source_too_small")),
+        F.when(~F.col("last") & (F.col("take") > part) & (F.col("take") % part).between(1, MIN_PART - 1), F.lit("last_part_too_small")),
         F.when(F.sum("take").over(every) > MAX_OBJECT, F.lit("object_too_large")),
         F.when(F.sum("parts").over(every) > MAX_PARTS, F.lit("too_many_parts")),
     )
@@ -71,15 +75,20 @@ def append_offsets(parts: DataFrame, *, by: str, order: str, length: str, start:
     return parts.withColumns({"offset": base + upto - F.col(length), "size_after": base + upto})
 
 
+def renamed(objects: DataFrame, source: str, target: str, *, key: str = "key") -> DataFrame:
+    """(source, target) of the objects below a prefix, when that becomes another."""
+    return objects.where(F.col(key).startswith(source)).select(F.col(key).alias("source"), F.concat(F.lit(target), F.substring(F.col(key), F.lit(len(source) + 1), F.length(key))).alias("target"))
+
+
 def delete_batches(keys: DataFrame, *, key: str = "key", most: int = DELETE_BATCH) -> DataFrame:
     """Deals keys to requests of ``most`` at most.
 
     Keys are numbered without bringing all to one task: ranges of keys are counted, and a range's batches begin where the range before it
-    ends.  So a batch number is the same wherever partitions end.
+    ends.  So a batch number is the same wherever partitions end.  The ranges are stored: their bounds come from a sample, so another evaluation may have others.
     """
     n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ranged = keys.repartitionByRange(n, key).withColumn("range", F.spark_partition_id())
-    local = ranged.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy(key)))
+    local = stored(ranged.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy(key))))
     sizes = local.groupBy("range").agg(F.count("*").alias("n"))
     before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each range
     joined = local.join(F.broadcast(before.select("range", "before")), "range")
@@ -100,8 +109,21 @@ def rechunked(df: DataFrame, content: str, size: int) -> DataFrame:
 
 
 def range_read(content: Column, offset: int | None, length: int | None) -> Column:
-    """Bytes of a range; a length alone starts at 0. A length of 0 isn't a range."""
+    """Bytes of a range; a length alone starts at 0. A length of 0 isn't a range; see ``fast_read``."""
     if length == 0:
         raise ValueError("a range has at least one byte")
     start = (offset or 0) + 1
     return F.substring(content.cast("binary"), F.lit(start), F.lit(length) if length is not None else F.octet_length(content))
+
+
+def fast_read(content: Column, offset: int, length: int) -> Column:
+    """Bytes from an offset on; a length of 0 has no end."""
+    return range_read(content, offset, length or None)
+
+
+def attribute_page(parts: DataFrame, *, by: str, part: str = "part_number", after: int = 0, most: int = MAX_KEYS) -> DataFrame:
+    """Adds ``is_truncated`` and ``next_marker`` to the first ``most`` parts of each object beyond a part number."""
+    place, every = Window.partitionBy(by).orderBy(part), Window.partitionBy(by)
+    rows = parts.where(F.col(part) > after).withColumn("place", F.row_number().over(place)).where(F.col("place") <= most + 1)
+    rows = rows.withColumns({"is_truncated": F.max("place").over(every) > most, "next_marker": F.max(F.when(F.col("place") == most, F.col(part))).over(every)})
+    return rows.where(F.col("place") <= most).withColumn("next_marker", F.when(F.col("is_truncated"), F.col("next_marker"))).drop("place")

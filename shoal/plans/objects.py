@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shoal.functions import checksums, text, validate
-from shoal.operators import listing, transfer
+from shoal.operators import conditions, listing, transfer
 from shoal.plans.core import query
 from shoal.sources.relations import relation, with_oracle
 from shoal.sources.select import CsvInput, CsvOutput, JsonInput, JsonOutput, ParquetInput, SelectRequest, scan_range
@@ -137,20 +137,21 @@ def rechunk(spark, sf):
 @query(with_oracle("objects") + "select key, last_modified > timestamp '2024-01-01 08:00:00' and last_modified <= timestamp '2024-01-01 14:00:00' and etag <> md5('x') as readable from objects")
 def conditional_read(spark, sf):
     since, until = F.lit("2024-01-01 08:00:00").cast("timestamp_ntz"), F.lit("2024-01-01 14:00:00").cast("timestamp_ntz")
-    return relation(spark, sf, "objects").select("key", ((F.col("last_modified") > since) & (F.col("last_modified") <= until) & (F.col("etag") != F.md5(F.lit("x")))).alias("readable"))
+    failed = conditions.failed(F.col("etag"), F.col("last_modified"), none_match=F.md5(F.lit("x")), modified_since=since, unmodified_since=until)
+    return relation(spark, sf, "objects").select("key", failed.isNull().alias("readable"))
 
 
 @query(with_oracle("objects") + "select key, '\"' || etag || '\"' as if_match, case when doc_id % 3 = 0 then '*' else '\"' || etag || '\"' end as if_none_match, doc_id % 3 <> 0 as may_write from objects")
 def conditional_etag(spark, sf):
     """A write that demands a known tag: quoted, unless any tag will do."""
     rows = relation(spark, sf, "objects").withColumn("wanted", F.when(F.col("doc_id") % 3 == 0, "*").otherwise(F.col("etag")))
-    quoted = lambda c: F.when(c == "*", c).otherwise(F.concat(F.lit('"'), c, F.lit('"')))
-    return rows.select("key", quoted(F.col("etag")).alias("if_match"), quoted(F.col("wanted")).alias("if_none_match"), (F.col("wanted") != "*").alias("may_write"))
+    failed = conditions.failed(F.col("etag"), F.col("last_modified"), match=F.col("etag"), none_match=F.when(F.col("wanted") == "*", F.col("wanted")))
+    return rows.select("key", text.quoted_etag("etag").alias("if_match"), text.quoted_etag("wanted").alias("if_none_match"), failed.isNull().alias("may_write"))
 
 
-@query(with_oracle("objects") + "select key as source, regexp_replace(key, '^src1/', 'archive/one/') as target from objects where starts_with(key, 'src1/') and storage_class = 'STANDARD'")
+@query(with_oracle("objects") + "select key as source, 'archive/one' || substr(key, 5) as target from objects where starts_with(key, 'src1') and storage_class = 'STANDARD'")
 def rename_prefix(spark, sf):
-    return listing.under(relation(spark, sf, "objects"), "src1/").where("storage_class = 'STANDARD'").select(F.col("key").alias("source"), F.regexp_replace("key", "^src1/", "archive/one/").alias("target"))
+    return transfer.renamed(listing.under(relation(spark, sf, "objects"), "src1").where("storage_class = 'STANDARD'"), "src1", "archive/one")
 
 
 @query(with_oracle("uploads") + "select upload_id, n as part_number, least(part_size, object_size - (n - 1) * part_size) as size from (select *, unnest(range(1, cast(ceil(object_size / part_size) as bigint) + 1)) as n from uploads) ")
@@ -207,14 +208,9 @@ def _url_encode(spark, sf):
     return relation(spark, sf, "pages").select("page_id", text.url_encode("url").alias("encoded"))
 
 
-@query("select doc_id, replace(url_encode(text[1:80]), '%2F', '/') as encoded from documents")
-def encode_key(spark, sf):
-    """Keys of 80 characters, as its SQL has it; ``encode_key_all`` encodes whole texts."""
-    return relation(spark, sf, "documents").select("doc_id", text.encode_key(F.substring("text", 1, 80)).alias("encoded"))
-
-
 @query("select doc_id, replace(url_encode(text), '%2F', '/') as encoded from documents")
-def encode_key_all(spark, sf):
+def encode_key(spark, sf):
+    """Whole texts as keys."""
     return relation(spark, sf, "documents").select("doc_id", text.encode_key("text").alias("encoded"))
 
 
@@ -234,18 +230,12 @@ def trim_quotes(spark, sf):
     return rows.select("key", text.trim_quotes("whole").alias("trimmed"), text.trim_quotes("part").alias("half"))
 
 
-@query("select user_id, event_type as name, string_agg(regexp_replace(trim(v), ' +', ' ', 'g'), ',' order by v) as values from (select user_id, event_type, ' ' || event_id % 7 || '   ' || event_type || ' ' as v from events where event_type <> 'error') group by all")
+@query("select user_id, event_id // 1000 as request, event_type as name, string_agg(regexp_replace(trim(v), ' +', ' ', 'g'), ',' order by v) as values from (select user_id, event_id, event_type, ' ' || event_id % 7 || '   ' || event_type || ' ' as v from events where event_type <> 'error') group by all")
 def canonical_headers(spark, sf):
-    """Values of a header in order of the raw value, spaces collapsed; two names are left out of signing."""
-    rows = relation(spark, sf, "events").select("user_id", F.when(F.col("event_type") == "error", "Authorization").otherwise(F.initcap("event_type")).alias("name"), F.concat(F.lit(" "), F.col("event_id") % 7, F.lit("   "), "event_type", F.lit(" ")).alias("v"))
+    """Values of a header in order of the raw value, spaces collapsed; two names are left out of signing. A user's request takes events of 1,000 ids, so that no group grows with the input."""
+    rows = relation(spark, sf, "events").select("user_id", F.expr("event_id div 1000").alias("request"), F.when(F.col("event_type") == "error", "Authorization").otherwise(F.initcap("event_type")).alias("name"), F.concat(F.lit(" "), F.col("event_id") % 7, F.lit("   "), "event_type", F.lit(" ")).alias("v"))
     kept = rows.withColumn("name", F.lower("name")).where(~F.col("name").isin("authorization", "user-agent"))
-    return kept.groupBy("user_id", "name").agg(F.array_join(F.transform(F.array_sort(F.collect_list("v")), text.collapse_spaces), ",").alias("values"))
-
-
-@query("select user_id, string_agg(event_type || '=' || cast(round(value) as bigint), '&' order by event_type, event_id) as query from events where event_id % 10 = 0 group by user_id")
-def canonical_query(spark, sf):
-    """Parameters by name, values of one name in the order in which they came. Only every tenth event, as its SQL has it; ``canonical_query_all`` has all."""
-    return _canonical_queries(relation(spark, sf, "events").where("event_id % 10 = 0"), "user_id")
+    return kept.groupBy("user_id", "request", "name").agg(F.array_join(F.transform(F.array_sort(F.collect_list("v")), text.collapse_spaces), ",").alias("values"))
 
 
 def _canonical_queries(events, *by: str):
@@ -254,8 +244,8 @@ def _canonical_queries(events, *by: str):
 
 
 @query("select user_id, event_id // 1000 as request, string_agg(event_type || '=' || cast(round(value) as bigint), '&' order by event_type, event_id) as query from events group by user_id, event_id // 1000")
-def canonical_query_all(spark, sf):
-    """All events. A user's request takes those of 1,000 ids, so that no group grows with the input."""
+def canonical_query(spark, sf):
+    """Parameters by name, values of one name in the order in which they came. A user's request takes those of 1,000 ids, so that no group grows with the input."""
     return _canonical_queries(relation(spark, sf, "events").withColumn("request", F.expr("event_id div 1000")), "user_id", "request")
 
 
@@ -302,10 +292,10 @@ def event_params(spark, sf):
 
 # --- validators
 
-_NAMES = "select doc_id, case doc_id % 9 when 0 then 'ab' when 1 then '192.168.1.' || doc_id % 256 when 2 then 'a..b' || doc_id when 3 then 'Upper' || doc_id when 4 then 'xn--' || doc_id when 5 then 'sthree-' || doc_id when 6 then 'x' || doc_id || '-s3alias' when 7 then ' my-bucket-' || doc_id || ' ' else repeat('y', 64) end as name from {t}"
+_NAMES = "select doc_id, case doc_id % 12 when 0 then 'ab' when 1 then '192.168.1.' || doc_id % 256 when 2 then 'a..b' || doc_id when 3 then 'Upper' || doc_id when 4 then 'xn--' || doc_id when 5 then 'sthree-' || doc_id when 6 then 'x' || doc_id || '-s3alias' when 7 then ' my-bucket-' || doc_id || ' ' when 8 then '999.999.999.' || doc_id when 9 then chr(9) || 'my-bucket-' || doc_id || chr(10) when 10 then '10.0.01.' || doc_id % 256 else repeat('y', 64) end as name from {t}"
 
 
-@query(f"""with n as ({_NAMES.format(t="documents")}), t as (select doc_id, trim(name) as x from n) select doc_id, case when strlen(x) < 3 then 'too_short' when strlen(x) > 63 then 'too_long' when regexp_full_match(x, '(\\d+\\.){{3}}\\d+') then 'ip_address'
+@query(f"""with n as ({_NAMES.format(t="documents")}), t as (select doc_id, trim(name, ' ' || chr(9) || chr(10)) as x from n) select doc_id, case when strlen(x) < 3 then 'too_short' when strlen(x) > 63 then 'too_long' when regexp_full_match(x, '((25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]|[0-9])\\.){{3}}(25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9][0-9]|[0-9])') then 'ip_address'
   when contains(x, '..') or contains(x, '.-') or contains(x, '-.') then 'successive_characters' when not regexp_full_match(x, '[a-z0-9][a-z0-9.\\-]{{1,61}}[a-z0-9]') then 'characters' when starts_with(x, 'xn--') then 'prefix_xn' when starts_with(x, 'sthree-') then 'prefix_sthree' when ends_with(x, '-s3alias') then 'suffix_alias' end as error from t""")
 def valid_bucket_name(spark, sf):
     names = spark.sql(_NAMES.format(t="{d}"), d=relation(spark, sf, "documents"))

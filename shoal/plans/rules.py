@@ -19,7 +19,7 @@ MIB = transfer.MIB
 @query(
     with_oracle("uploads")
     + f"""select upload_id, case when part_size < {5 * MIB} then 'part_too_small' when object_size = 0 then 'part_count_zero' when ceil(object_size / part_size) > 10000 then 'too_many_parts' end as error,
-  least(part_size, object_size) as part_size, cast(ceil(object_size / least(part_size, object_size)) as bigint) as parts, least({64 * MIB}, object_size) as free_part_size from uploads"""
+  part_size, cast(ceil(object_size / part_size) as bigint) as parts, least({64 * MIB}, object_size) as free_part_size from uploads"""
 )
 def multipart_plan(spark, sf):
     """Plans with the part size that is asked for, and with the default."""
@@ -35,12 +35,11 @@ def part_ranges(spark, sf):
     return relation(spark, sf, "uploads").select("upload_id", F.explode(transfer.ranges(F.col("object_size"), F.col("part_size"))).alias("p")).select("upload_id", "p.*")
 
 
-@query(with_oracle("uploads") + "select upload_id, object_size as total, true as complete from uploads")
+@query(with_oracle("uploads") + "select upload_id, cast(sum(least(part_size, object_size - (n - 1) * part_size)) as bigint) as total, sum(least(part_size, object_size - (n - 1) * part_size)) = any_value(object_size) as complete from (select *, unnest(range(1, cast(ceil(object_size / part_size) as bigint) + 1)) as n from uploads) group by upload_id")
 def multipart_total(spark, sf):
-    """The parts of an upload against its size."""
-    uploads = relation(spark, sf, "uploads")
-    parts = uploads.select("upload_id", "object_size", F.explode(transfer.ranges(F.col("object_size"), F.col("part_size"))).alias("p"))
-    return parts.groupBy("upload_id", "object_size").agg(F.sum("p.length").alias("total")).select("upload_id", "total", (F.col("total") == F.col("object_size")).alias("complete"))
+    """The parts of an upload against its size; they are summed where they are."""
+    total = F.aggregate(transfer.ranges(F.col("object_size"), F.col("part_size")), F.lit(0).cast("bigint"), lambda t, p: t + p["length"])
+    return relation(spark, sf, "uploads").select("upload_id", total.alias("total"), (total == F.col("object_size")).alias("complete"))
 
 
 _SOURCES = "select o_custkey as target, o_orderkey as n, cast(round(o_totalprice * 1000) as bigint) as size, case when o_orderkey % 5 = 0 then {m} end as \"offset\", case when o_orderkey % 7 = 0 then {t} end as length from orders"
@@ -49,7 +48,8 @@ _SOURCES = "select o_custkey as target, o_orderkey as n, cast(round(o_totalprice
 @query(
     f"""with s as ({_SOURCES.format(m=MIB, t=20 * MIB)}), t as (select *, coalesce(length, size - coalesce("offset", 0)) as take from s), u as (select *, cast(ceil(take / {64 * MIB}) as bigint) as parts, n = max(n) over (partition by target) as last, sum(take) over (partition by target) as target_bytes from t)
   select target, n, take as bytes, parts, cast(1 + coalesce(sum(parts) over (partition by target order by n rows between unbounded preceding and 1 preceding), 0) as bigint) as first_part, cast(target_bytes as bigint) as target_bytes,
-  case when coalesce("offset", 0) >= size then 'offset' when take > size then 'length' when coalesce("offset", 0) + take > size then 'range' when not last and take < {5 * MIB} then 'source_too_small' end as error from u"""
+  case when coalesce("offset", 0) >= size then 'offset' when take > size then 'length' when coalesce("offset", 0) + take > size then 'range' when not last and take < {5 * MIB} then 'source_too_small'
+  when not last and take > {64 * MIB} and take % {64 * MIB} between 1 and {5 * MIB - 1} then 'last_part_too_small' end as error from u"""
 )
 def compose_plan(spark, sf):
     sources = relation(spark, sf, "orders").select(F.col("o_custkey").alias("target"), F.col("o_orderkey").alias("n"), F.round(F.col("o_totalprice") * 1000).cast("bigint").alias("size"), F.when(F.col("o_orderkey") % 5 == 0, F.lit(MIB)).cast("bigint").alias("offset"), F.when(F.col("o_orderkey") % 7 == 0, F.lit(20 * MIB)).cast("bigint").alias("length"))
@@ -67,22 +67,11 @@ def delete_batches(spark, sf):
     return transfer.delete_batches(relation(spark, sf, "objects").select("key"), most=150)
 
 
-@query(with_oracle("objects") + "select key, 'deleted' as outcome from objects where doc_id % 3 = 0 union all select 'gone/' || key, 'skipped' from objects where doc_id % 5 = 0")
-def delete_missing(spark, sf):
-    """Requests for some of the objects, as its SQL has it; ``delete_missing_all`` asks for all."""
-    objects = relation(spark, sf, "objects")
-    return _deleted(objects, objects.where("doc_id % 3 = 0"), objects.where("doc_id % 5 = 0"))
-
-
-def _deleted(objects, there, gone):
-    return transfer.delete_outcome(there.select("key").union(gone.select(F.concat(F.lit("gone/"), "key"))), objects)
-
-
 @query(with_oracle("objects") + "select key, 'deleted' as outcome from objects union all select 'gone/' || key, 'skipped' from objects")
-def delete_missing_all(spark, sf):
+def delete_missing(spark, sf):
     """Every object is asked for, and as many keys that no object has."""
     objects = relation(spark, sf, "objects")
-    return _deleted(objects, objects, objects)
+    return transfer.delete_outcome(objects.select("key").union(objects.select(F.concat(F.lit("gone/"), "key"))), objects)
 
 
 # --- rules
@@ -164,10 +153,10 @@ def object_lock(spark, sf):
     return relation(spark, sf, "objects").withColumn("retain_until", until).select("key", "retain_until", rules.locked(d % 11 == 0, F.col("retain_until"), _now()).alias("locked"))
 
 
-_COPIES = "('a', 'src1', 10, 'east', true, 1), ('b', 'src1/en', 20, 'east', true, 2), ('c', '', 5, 'west', true, 3), ('d', '', 99, 'west', false, 4)"
+_COPIES = "('a', 'src1', 10, 'east', true, 1), ('b', 'src1/en', 20, 'east', true, 2), ('c', '', 5, 'west', true, 3), ('d', '', 99, 'west', false, 4), ('e', 'src1/en', 20, 'east', true, 5)"
 
 
-@query(with_oracle("objects") + f"""select key, destination, arg_max(rule_id, priority) as rule_id from objects join (values {_COPIES}) t(rule_id, prefix, priority, destination, enabled, o) on starts_with(key, prefix) where enabled group by key, destination""")
+@query(with_oracle("objects") + f"""select key, destination, arg_max(rule_id, (priority, -o)) as rule_id from objects join (values {_COPIES}) t(rule_id, prefix, priority, destination, enabled, o) on starts_with(key, prefix) where enabled group by key, destination""")
 def replication_targets(spark, sf):
     found = _values(spark, f"select *  from values {_COPIES} as t(rule_id, prefix, priority, destination, enabled, `order`)")
     return rules.replication_targets(relation(spark, sf, "objects"), found)
@@ -200,25 +189,16 @@ def policy_allowed_reference(spark, sf):
 # --- notifications and counters
 
 
-@query(with_oracle("notifications") + "select event_id, event_name, key, date_trunc('millisecond', event_time) as event_time, '' as version_id from notifications where event_id % 4 = 0")
+@query(with_oracle("notifications") + "select event_id, event_name, key, date_trunc('millisecond', event_time) as event_time, '' as version_id from notifications")
 def notification_stream(spark, sf):
-    """Events as lines in a landing folder, read as a stream's rows are; tests run the stream itself. Every fourth, as its SQL has it; ``notification_stream_all`` has all."""
-    return _landed(spark, relation(spark, sf, "notifications").where("event_id % 4 = 0"))
-
-
-def _landed(spark, rows):
-    path = new_folder(spark)
+    """Events as lines in a landing folder, read as a stream's rows are; tests run the stream itself."""
+    rows, path = relation(spark, sf, "notifications"), new_folder(spark)
     record = F.struct(F.struct(F.date_format("event_time", "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'").alias("eventTime"), F.col("event_name").alias("eventName"), F.struct(F.struct("key", F.col("event_id").cast("string").alias("sequencer")).alias("object")).alias("s3")).alias("r"))
     rows.select(F.to_json(F.struct(F.array(record["r"]).alias("Records"))).alias("value")).write.text(path)
     found = notifications.records(notifications.lines(spark, path))
     return found.select(F.col("sequencer").cast("bigint").alias("event_id"), "event_name", "key", F.col("event_time").cast("timestamp_ntz").alias("event_time"), "version_id")
 
 
-@query(with_oracle("notifications") + "select event_id, event_name, key, date_trunc('millisecond', event_time) as event_time, '' as version_id from notifications")
-def notification_stream_all(spark, sf):
-    return _landed(spark, relation(spark, sf, "notifications"))
-
-
 @query(with_oracle("notifications") + "select event_id, key, event_name from notifications where starts_with(key, 'images/') and ends_with(key, '.png') and starts_with(event_name, 's3:ObjectCreated:')")
 def event_filter(spark, sf):
     return rules.event_filter(relation(spark, sf, "notifications"), prefix="images/", suffix=".png", names=["s3:ObjectCreated:*"]).select("event_id", "key", "event_name")

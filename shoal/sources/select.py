@@ -16,6 +16,20 @@ from pyspark.sql import functions as F
 VIEW = "S3Object"
 
 
+#: Declared compressions, and the ends of names by which Spark's readers choose a codec.
+_ENDS = {"NONE": None, "GZIP": ".gz", "BZIP2": ".bz2"}
+
+
+def _checked(spark: SparkSession, path: str, compression: str) -> None:
+    """Readers go by names of files, so a declaration that disagrees with them is an error, not garbage. NONE declares nothing."""
+    if compression not in _ENDS:
+        raise ValueError(f"unknown compression: {compression}")
+    if end := _ENDS[compression]:
+        other = spark.read.format("binaryFile").load(path).select("path").where(~F.col("path").endswith(end)).first()  # names only, no content
+        if other:
+            raise ValueError(f"{other['path']} is declared {compression}, which needs a name that ends with {end}")
+
+
 @dataclass(frozen=True)
 class CsvInput:
     header: str = "USE"  # USE: names; IGNORE: skipped, columns are _1, _2, ...; NONE: there is none
@@ -30,6 +44,7 @@ class CsvInput:
     def read(self, spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
         if self.header not in ("USE", "IGNORE", "NONE"):
             raise ValueError(f"unknown header mode: {self.header}")
+        _checked(spark, path, self.compression)
         reader = spark.read.option("sep", self.field_delimiter).option("quote", self.quote).option("escape", self.quote_escape).option("multiLine", self.quoted_record_delimiter).option("header", self.header != "NONE")
         for name, value in (("lineSep", self.record_delimiter), ("comment", self.comments)):
             if value is not None:
@@ -46,6 +61,7 @@ class JsonInput:
     def read(self, spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
         if self.kind not in ("LINES", "DOCUMENT"):
             raise ValueError(f"unknown JSON type: {self.kind}")
+        _checked(spark, path, self.compression)
         reader = spark.read.option("multiLine", self.kind == "DOCUMENT")
         return (reader.schema(schema) if schema else reader).json(path)
 

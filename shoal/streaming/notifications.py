@@ -21,7 +21,7 @@ def lines(spark: SparkSession, path: str, *, streaming: bool = False) -> DataFra
 
 
 def records(text: DataFrame, *, value: str = "value") -> DataFrame:
-    """A row for each record of each line; blank lines are skipped, a malformed line ends the job. A missing version or sequencer is empty."""
+    """A row for each record of each line; blank lines are skipped, a malformed line ends the job, a malformed key is null. A missing version or sequencer is empty."""
     from shoal.functions.text import parse_iso8601
 
     parsed = text.where(F.trim(value) != "").select(F.explode(F.from_json(F.trim(value), RECORDS, {"mode": "FAILFAST"})["Records"]).alias("r"))
@@ -29,7 +29,7 @@ def records(text: DataFrame, *, value: str = "value") -> DataFrame:
         F.col("r.eventVersion").alias("event_version"), F.col("r.eventSource").alias("event_source"), F.col("r.awsRegion").alias("aws_region"),
         parse_iso8601("r.eventTime").alias("event_time"), F.col("r.eventName").alias("event_name"), F.col("r.userIdentity.principalId").alias("principal_id"),
         F.col("r.requestParameters").alias("request_parameters"), F.col("r.responseElements").alias("response_elements"),
-        F.col("r.s3.bucket.name").alias("bucket"), F.url_decode("r.s3.object.key").alias("key"), F.col("r.s3.object.size").alias("size"), F.col("r.s3.object.eTag").alias("etag"),
+        F.col("r.s3.bucket.name").alias("bucket"), F.try_url_decode("r.s3.object.key").alias("key"), F.col("r.s3.object.size").alias("size"), F.col("r.s3.object.eTag").alias("etag"),
         F.coalesce("r.s3.object.versionId", F.lit("")).alias("version_id"), F.coalesce("r.s3.object.sequencer", F.lit("")).alias("sequencer"),
     )
 
