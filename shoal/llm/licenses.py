@@ -1,15 +1,16 @@
 """License scans: TF-IDF cosine of passages to templates, and inheritance from the nearest ancestor directory.
 
 Passages are every line, and for each template every run of as many words as it has, over line ends: so wrapped headers, notices in prose
-and whole license files are found.  A passage's sparse TF-IDF vector is compared with the template's; document frequencies of the
+and whole license files are found.  Lines with a license identifier are passages, too.  A passage's sparse TF-IDF vector is compared with the template's; document frequencies of the
 templates' words are counted over all texts.  A bound from sums over whole slices leaves out passages that can't be near a template.
-A text that mostly is a license is a license file of its directory; texts without a license of their own
+A text that mostly is a license, or has one and a license file's name, is a license file of its directory; texts without a license of their own
 get that of the nearest directory above them that has a license file, by a join on paths.
 """
 
 from __future__ import annotations
 
 import math
+import re
 from bisect import bisect
 from collections import Counter
 from collections.abc import Iterator
@@ -48,7 +49,14 @@ TITLES = (
     ("MPL-2.0", "Mozilla Public License Version 2.0"),
 )
 #: Least cosine of a license notice; share of a text's words, in notices, of a license file.
-NEAR, FILE_SHARE = 0.75, 0.25
+NEAR, FILE_SHARE = 0.75, 0.5
+#: Names of license files, in any case and with any ending.
+FILE_NAMES = r"(?i)(^|/)(licen[cs]e|copying|copyright|unlicense)([-._][^/]*)?$"
+#: A line that names its license exactly; what a license's name may end with.
+IDENTIFIER = re.compile(rb"spdx-license-identifier:[ \t]*\(?([a-z0-9.+-]+)")
+IDENTIFIER_ENDS = re.compile(r"(-only|-or-later|\+)$")
+#: Folders with a license that are sent to every task at most; beyond that rows meet them by a shuffle, each folder's rows dealt to so many keys.
+BROADCAST_FOLDERS, SALTS = 100_000, 32
 
 FIELDS = [
     T.StructField("license", T.StringType()),
@@ -130,7 +138,8 @@ def notices(df: DataFrame, *, text: str = "text", keep: list[str] | None = None,
     """Adds, for every whole text, its nearest ``license`` with ``similarity`` and ``line`` (from 1), all ``licenses`` by name, and whether it is a ``license_file``.
 
     Without a passage of cosine ``near`` or more these are null, 0, null, null and false; so for null and empty texts. Of equal cosines the first line counts, then the first
-    template. Of overlapping passages of several licenses the nearest counts, of equal ones the longest. ``full``: whole license texts, ``full_texts`` by default; a text
+    template. Of overlapping passages of several licenses the nearest counts, of equal ones the longest. A line with the identifier of a known license has cosine 1.
+    Words are runs of ASCII letters, digits and other characters beyond ASCII; repeated rows are compared each, an empty table gives no rows. ``full``: whole license texts, ``full_texts`` by default; a text
     with less than half the words of a template is no passage for it but by its lines. ``keep``: the columns that stay, all by default; one that is named as a result gives way to it.
     """
     every = [*templates, *titles, *(full_texts() if full is None else full)]
@@ -149,6 +158,9 @@ def notices(df: DataFrame, *, text: str = "text", keep: list[str] | None = None,
     lengths = [sum(c.values()) for c in vocabulary.counts]
     # by place in the vocabulary, and 0 for a word outside: what a word adds to the dot product
     adds = [np.array([t.get(w, 0.0) * weight[w] for w in vocabulary.hashes.tolist()] + [0.0]) for t in vectors]
+    by_name: dict[str, int] = {}
+    for i, name in enumerate(names):
+        by_name.setdefault(name.lower(), i)
     often = sorted({w for i in by_window for w, n in vocabulary.counts[i].most_common(8) if n > 9})
 
     def compute(texts: pa.Array) -> list[pa.Array]:
@@ -189,6 +201,12 @@ def notices(df: DataFrame, *, text: str = "text", keep: list[str] | None = None,
                     own = np.flatnonzero(adds[i][word[a:b]])
                     passages[row[a]].append((round(min(c, 1.0), 9), a + int(own[0]), a + int(own[-1]) + 1, i))
 
+            for m in IDENTIFIER.finditer(data.tobytes()):
+                i = by_name.get(IDENTIFIER_ENDS.sub("", m[1].decode()))
+                a, b = np.searchsorted(starts, [m.start(), m.end()])
+                if i is not None and row[a] == row[b - 1]:
+                    passages[row[a]].append((1.0, int(a), int(b), i))
+
             def slid(i: int, at: list[int], length: int) -> Iterator[tuple[float, int]]:
                 """Cosines of windows, in order, by counts that move along."""
                 counts: dict[int, int] = {}
@@ -266,25 +284,37 @@ def notices(df: DataFrame, *, text: str = "text", keep: list[str] | None = None,
 def inherited(found: DataFrame, *, path: str = "path") -> DataFrame:
     """Adds ``origin`` (own, inherited or null) and ``license_from``, the directory; ``license`` is then also that inherited.
 
-    A directory's license is that of most of its license files, the first by name of several. Directories above are looked up from the nearest; the root is "".
-    Only distinct directories are expanded to those above them. A null path inherits nothing.
+    A text with a license whose path has the name of a license file is a license file, too. A directory's license is that of most of its license files, the first by name of several.
+    Directories above are looked up from the nearest; the root is "". Only distinct directories are expanded to those above them. A null path inherits nothing.
+    ``found`` is what ``notices`` returns, stored (else it is computed for each step); columns of any name stay.
     """
-    folder = lambda c: F.regexp_replace(c, "/?[^/]*$", "")
-    rows = found.withColumn("own folder", folder(F.col(f"`{path}`")))
-    votes = rows.where(F.col("license_file") & F.col("own folder").isNotNull()).groupBy("own folder", "license").agg(F.count("*").alias("n"))
-    given = votes.groupBy("own folder").agg(F.min_by("license", F.struct(-F.col("n"), F.col("license"))).alias("given")).withColumnRenamed("own folder", "above")
+    named = {c: f"c{i}" for i, c in enumerate(found.columns)}
+    own = [F.col(f"`{c}`").alias(n) for c, n in named.items()]
+    place, license, file = named[path], named["license"], named["license_file"]
+    rows = found.select(*own, F.regexp_replace(F.col(f"`{path}`"), "/?[^/]*$", "").alias("own folder"))
+    is_file = F.col(license).isNotNull() & (F.col(file) | F.col(place).rlike(FILE_NAMES))
+    votes = rows.where(is_file & F.col("own folder").isNotNull()).groupBy("own folder", license).agg(F.count("*").alias("n"))
+    given = votes.groupBy(F.col("own folder").alias("above")).agg(F.min_by(license, F.struct(-F.col("n"), F.col(license))).alias("given"))
     folders = rows.select(F.col("own folder").alias("folder")).dropna().distinct()
     parts = F.filter(F.split("folder", "/"), lambda x: x != "")
     chain = F.transform(F.sequence(F.lit(0), F.size(parts)), lambda k: F.array_join(F.slice(parts, F.lit(1), k), "/"))
     ancestors = folders.select("folder", F.posexplode(chain).alias("depth", "above"))
-    nearest = ancestors.join(given, "above").groupBy("folder").agg(F.max(F.struct("depth", "above", "given")).alias("x"))
-    joined = rows.join(nearest, rows["own folder"] == nearest["folder"], "left")
-    own = F.col("license").isNotNull()
-    columns = [F.coalesce("license", "x.given").alias("license") if c == "license" else F.col(f"`{c}`") for c in found.columns if c not in ("origin", "license_from")]
-    return joined.select(*columns, F.when(own, "own").when(F.col("x").isNotNull(), "inherited").alias("origin"), F.when(~own, F.col("x.above")).alias("license_from"))
+    nearest = stored(ancestors.join(given, "above").groupBy("folder").agg(F.max(F.struct("depth", "above", "given")).alias("nearest")))
+    if nearest.count() <= BROADCAST_FOLDERS:
+        joined = rows.join(F.broadcast(nearest), F.col("own folder") == F.col("folder"), "left")
+    else:
+        salted = nearest.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+        dealt = rows.withColumn("own salt", F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.lit(SALTS)).cast("int"))
+        joined = dealt.join(salted, (F.col("own folder") == F.col("folder")) & (F.col("own salt") == F.col("salt")), "left")
+    mine = F.col(license).isNotNull()
+    columns = [F.coalesce(license, "nearest.given").alias(c) if c == "license" else F.col(n).alias(c) for c, n in named.items() if c not in ("origin", "license_from")]
+    return joined.select(*columns, F.when(mine, "own").when(F.col("nearest").isNotNull(), "inherited").alias("origin"), F.when(~mine, F.col("nearest.above")).alias("license_from"))
 
 
 def scan(df: DataFrame, *, text: str = "text", path: str = "path", keep: list[str] | None = None) -> DataFrame:
-    """``notices`` of all texts, and ``inherited`` from the directories of their paths."""
-    keep = [path] if keep is None else [*keep, path]
-    return inherited(stored(notices(df, text=text, keep=keep)), path=path)
+    """``notices`` of all texts, and ``inherited`` from the directories of their paths. ``keep``: the columns that stay, all by default; one that is named as a result gives way to it."""
+    keep = df.columns if keep is None else keep
+    results = {f.name for f in FIELDS} | {"origin", "license_from"}
+    placed = df.withColumn("path of the text", F.col(f"`{path}`"))
+    found = stored(notices(placed, text=text, keep=[*dict.fromkeys(c for c in keep if c not in results), "path of the text"]))
+    return inherited(found, path="path of the text").drop("path of the text")
