@@ -49,9 +49,10 @@ def quality() -> str:
         "exclamations": ratio("n_exclamations", "n_words"),
         "upper_case": ratio("n_upper", "word_chars"),
     }
-    grid = ", ".join(f"('{r}', {i + 1}, cast({c} as double))" for r, cs in rules.GRID.items() for i, c in enumerate(cs))
+    order = sorted((i / len(cs), list(rules.GRID).index(r), r, c) for r, cs in rules.GRID.items() for i, c in enumerate(cs))
+    grid = ", ".join(f"('{r}', {n}, cast({c} as double))" for n, (_, _, r, c) in enumerate(order, 1))
     rows = " union all ".join(f"select *, '{r}' rule, {m} x from m" for r, m in measure.items())
-    level = rules.DELTA / (len(rules.GRID) * (len(rules.BANDS) + 1))
+    level = rules.DELTA / (len(rules.BANDS) + 1)
     p = rules.RISK
     tail = f"case when k >= n * {p} then 1.0 else list_sum(list_transform(range(0, k + 1), lambda j: exp(lgamma(n + 1.0) - lgamma(j + 1.0) - lgamma(n - j + 1.0) + j * ln({p}) + (n - j) * ln(1 - {p})))) end"
     return f"""
@@ -67,12 +68,16 @@ def quality() -> str:
     x as ({rows}),
     grid(rule, step, c) as (values {grid}),
     lab as (select doc_id, max(quality) > 0 good from labels where doc_id is not null and quality is not null group by doc_id),
-    held as (select {bands} s, good, rule, x from x join lab using (doc_id) where not base_failed),
-    sums as (select s, rule, step, c, count(*) filter (good) n, count(*) filter (good and x >= c) k, count(*) filter (not good and x >= c) b from held join grid using (rule) group by all),
-    tails as (select *, {tail} tail from sums),
-    path as (select *, min(cast(tail <= {level!r} as integer)) over (partition by s, rule order by step) ok from tails),
-    best as (select s, rule, arg_max(c, (b - {rules.PRICE} * k) * 1000 - step) c from path where ok = 1 and b - {rules.PRICE} * k > 0 group by s, rule),
-    bad as (select distinct x.doc_id from x join best on x.rule = best.rule and {bands} = best.s where x.x >= best.c)
+    own as (select doc_id, rule, min(step) step from x join grid using (rule) where x >= c group by all),
+    held as (select doc_id, {bands} s, good from m join lab using (doc_id) where not base_failed),
+    firsts as (select doc_id, min(step) step from own group by doc_id),
+    sums as (select s, step, count(*) filter (good) g, count(*) filter (not good) b from held left join firsts using (doc_id) group by all),
+    steps as (select s, step, cast(sum(g) over (partition by s) as bigint) n, cast(sum(g) over w as bigint) k, sum(b) over w b from sums window w as (partition by s order by step nulls last)),
+    tails as (select *, {tail} tail from steps where step is not null),
+    path as (select *, min(cast(tail <= {level!r} as integer)) over (partition by s order by step) ok from tails),
+    best as (select s, arg_max(step, (b - {rules.PRICE} * k) * 1000 - step) step from path where ok = 1 and b - {rules.PRICE} * k > 0 group by s),
+    used as (select s, rule from held join own using (doc_id) join best using (s) where own.step <= best.step group by all),
+    bad as (select distinct m.doc_id from m join own using (doc_id) join best on {bands} = best.s join used on used.s = best.s and used.rule = own.rule where own.step <= best.step)
     select m.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, not base_failed and bad.doc_id is null kept
     from m left join bad using (doc_id)"""
 

@@ -1,12 +1,13 @@
 """Quality rules with risk-controlled thresholds, in DataFrame functions only.
 
-``measures`` counts what the rules look at, within each row, so that it needs no shuffle.  ``cutoffs`` chooses a cutoff for each rule and stratum
-(a band of text lengths): the labelled good documents are a holdout; going from the most lenient cutoff to the strictest,
-each is certified while the exact binomial tail P(Bin(n, risk) <= rejected good) is at most delta / (rules x strata), and the sequence
-ends at the first that is not (fixed-sequence testing within a rule, Bonferroni between rules and strata).  So with
-probability 1 - delta no rule rejects more than ``risk`` of the good documents of any stratum.  Of the certified cutoffs the one with the best
+``measures`` counts what the rules look at, within each row, so that it needs no shuffle.  ``cutoffs`` chooses cutoffs for each stratum
+(a band of text lengths): the labelled good documents are a holdout.  All cutoffs of all rules form one path, fixed beforehand, on which the rules take turns and each goes from its most
+lenient cutoff to its strictest.  At each step a document is rejected if any cutoff up to there rejects it; so the steps' rejected sets are nested, and each
+is certified as a whole while the exact binomial tail P(Bin(n, risk) <= rejected good) is at most delta / strata.  The sequence
+ends at the first step that is not (fixed-sequence testing within a stratum, Bonferroni between strata).  So with
+probability 1 - delta the rules together reject no more than ``risk`` of the good documents of any stratum.  Of the certified steps the one with the best
 balance of rejected bad and good documents is used, the most lenient of equals; without gain there is none.
-All labelled rows count; what is gathered has a row for each stratum, rule and cutoff.
+All labelled rows count; what is gathered has a row for each stratum and step.
 """
 
 from __future__ import annotations
@@ -136,35 +137,40 @@ def binomial_tail(k: Column, n: Column, p: float) -> Column:
     return let(F.struct(k.alias("k"), n.alias("n"), steps.alias("steps")), tail)
 
 
+def path_of(grid: dict[str, list[float]]) -> dict[str, list[int]]:
+    """The step of each cutoff on the common path: by its place among its rule's, then by rule."""
+    order = sorted((i / len(cutoffs), k, i, rule) for k, (rule, cutoffs) in enumerate(grid.items()) for i in range(len(cutoffs)))
+    steps: dict[str, list[int]] = {rule: [] for rule in grid}
+    for n, (_, _, _, rule) in enumerate(order, 1):
+        steps[rule].append(n)
+    return steps
+
+
 def cutoffs(counted: DataFrame, labels: DataFrame, *, doc: str = "doc_id", label: str = "quality", risk: float = RISK, delta: float = DELTA, bands: list[int] | None = None, grid: dict[str, list[float]] | None = None) -> DataFrame:
-    """A row for each stratum and rule with a certified cutoff: ``stratum``, ``rule``, ``cutoff``, ``n_good``, ``good_rejected``, ``bad_rejected``, ``tail``.
+    """A row for each stratum and rule that rejects some of it: ``stratum``, ``rule``, ``cutoff``, and of the stratum's rules together ``n_good``, ``good_rejected``, ``bad_rejected``, ``tail``.
 
-    ``counted`` is what ``measures`` returns, stored (else each rule counts anew). A document with several labels counts as good if one says so; rows that ``base_failed`` aren't
-    part of the holdout. Null labels don't count. Without labels, or with too few for a certificate, there are no rows.
+    ``counted`` is what ``measures`` returns, stored (else it counts anew). A document with several labels counts as good if one says so; rows that ``base_failed`` aren't
+    part of the holdout. Null labels and ids don't count; repeated rows count each. Without labels, or with too few for a certificate, there are no rows.
     """
     bands, grid = bands or BANDS, grid or GRID
     marks = labels.select(F.col(f"`{doc}`").alias("d"), F.col(f"`{label}`").alias("q")).dropna().groupBy("d").agg((F.max("q") > 0).alias("good"))
-    measured = rule_measures()
-    passed = lambda rule: sum(((measured[rule] >= c).cast("int") for c in grid[rule]), F.lit(0))
-    rows = counted.where(~F.col("base_failed")).select(F.col(f"`{doc}`").alias("d"), stratum(bands).alias("stratum"), *[passed(r).alias(r) for r in grid])
-    held = rows.join(marks, "d").select("stratum", "good", F.posexplode(F.array(*grid)).alias("rule", "level"))
-    by_level = held.groupBy("stratum", "rule", "level").agg(F.sum(F.col("good").cast("bigint")).alias("g"), F.sum((~F.col("good")).cast("bigint")).alias("b"))
-    totals = by_level.groupBy("stratum", "rule").agg(F.map_from_entries(F.collect_list(F.struct("level", F.struct("g", "b")))).alias("m"), F.sum("g").alias("n_good"))
-    # levels of a rule are as many as its cutoffs, so these rows are few and small
-    sizes = F.array(*[F.lit(len(c)) for c in grid.values()])
-    names, values = F.array(*[F.lit(r) for r in grid]), F.array(*[F.array(*[F.lit(float(x)) for x in c]) for c in grid.values()])
-    # a measure passes the strict cutoffs first: it reaches that of a step if it passes as many as there are from there to the end
-    needed = F.get(sizes, F.col("rule")) - F.col("step") + 1
-    least = lambda field: F.aggregate(F.filter(F.map_entries("m"), lambda e: e["key"] >= needed), F.lit(0).cast("bigint"), lambda t, e: t + e["value"][field])
-    steps = totals.withColumn("step", F.explode(F.sequence(F.lit(1), F.get(sizes, F.col("rule"))))).withColumns({"good_rejected": least("g"), "bad_rejected": least("b")})
-    steps = steps.withColumn("tail", binomial_tail(F.col("good_rejected"), F.col("n_good"), risk))
-    test = F.col("tail") <= delta / (len(grid) * (len(bands) + 1))
-    path = Window.partitionBy("stratum", "rule").orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
-    certified = steps.withColumn("open", F.min(test.cast("int")).over(path)).where("open = 1")
+    measured, steps = rule_measures(), path_of(grid)
+    never = sum(map(len, grid.values())) + 1
+    # the first step at which a rule rejects: that of its most lenient cutoff that is reached
+    own = {r: F.coalesce(*[F.when(measured[r] >= c, F.lit(n)) for c, n in zip(grid[r], steps[r], strict=True)], F.lit(never)) for r in grid}
+    rows = counted.where(~F.col("base_failed")).select(F.col(f"`{doc}`").alias("d"), stratum(bands).alias("stratum"), *[own[r].alias(r) for r in grid])
+    held = rows.join(marks, "d").withColumn("step", F.least(*grid))
+    by_step = held.groupBy("stratum", "step").agg(F.sum(F.col("good").cast("bigint")).alias("g"), F.sum((~F.col("good")).cast("bigint")).alias("b"), *[F.min(r).alias(r) for r in grid])
+    # rows of a stratum are as many as steps, at most
+    every = Window.partitionBy("stratum")
+    upto = every.orderBy("step").rowsBetween(Window.unboundedPreceding, 0)
+    path = by_step.withColumns({"n_good": F.sum("g").over(every), "good_rejected": F.sum("g").over(upto), "bad_rejected": F.sum("b").over(upto), **{r: F.min(r).over(every) for r in grid}}).where(F.col("step") < never)
+    path = path.withColumn("tail", binomial_tail(F.col("good_rejected"), F.col("n_good"), risk))
     gain = F.col("bad_rejected") - PRICE * F.col("good_rejected")
-    best = certified.where(gain > 0).groupBy("stratum", "rule").agg(F.max(F.struct(gain.alias("gain"), (-F.col("step")).alias("back"), "n_good", "good_rejected", "bad_rejected", "tail")).alias("x"))
-    cutoff = F.get(F.get(values, F.col("rule")), -F.col("x.back") - 1)
-    return best.select("stratum", F.get(names, F.col("rule")).alias("rule"), cutoff.alias("cutoff"), "x.n_good", "x.good_rejected", "x.bad_rejected", "x.tail")
+    certified = path.withColumn("open", F.min((F.col("tail") <= delta / (len(bands) + 1)).cast("int")).over(upto)).where((F.col("open") == 1) & (gain > 0))
+    best = certified.groupBy("stratum").agg(F.max(F.struct(gain.alias("gain"), (-F.col("step")).alias("back"), "step", "n_good", "good_rejected", "bad_rejected", "tail", *grid)).alias("x"))
+    rules = [F.struct(F.lit(r).alias("rule"), F.get(F.array(*[F.lit(float(c)) for c in grid[r]]), F.size(F.filter(F.array(*[F.lit(n) for n in steps[r]]), lambda n: n <= F.col("x.step"))) - 1).alias("cutoff"), F.col(f"x.{r}").alias("first")) for r in grid]
+    return best.withColumn("r", F.explode(F.array(*rules))).where("r.first <= x.step").select("stratum", "r.rule", "r.cutoff", "x.n_good", "x.good_rejected", "x.bad_rejected", "x.tail")
 
 
 def judged(counted: DataFrame, chosen: DataFrame, *, bands: list[int] | None = None, grid: dict[str, list[float]] | None = None) -> DataFrame:

@@ -133,6 +133,23 @@ def test_rule_cutoffs(spark):
     assert strict.isEmpty()  # 1 % of the good texts would go
 
 
+def test_rules_together_stay_within_the_risk(spark):
+    """Each of three rules rejects 1.3 % of the good documents, others for each: one may be used, all three together not."""
+    rows = []
+    for i in range(20_000):
+        bad, k = i % 2 == 0, i // 2 % 1000
+        high = lambda a: 90 if bad or a < k <= a + 13 else 1  # noqa: B023, E731
+        rows.append((i, 100, 500, high(0), 0, 0, 3, high(100), 3 * high(200), False))
+    counted = spark.createDataFrame(rows, "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, n_lines long, n_exclamations long, n_upper long, base_failed boolean")
+    labels = spark.createDataFrame([(r[0], r[0] % 2) for r in rows], "doc_id long, quality int")
+    chosen = quality_rules.cutoffs(counted, labels, risk=0.02).collect()
+    assert len(chosen) == 1 and all(r.good_rejected <= 0.02 * r.n_good for r in chosen)
+    kept = quality_rules.judged(counted, quality_rules.cutoffs(counted, labels, risk=0.02))
+    good = kept.where("doc_id % 2 = 1")
+    assert good.where("not kept").count() == chosen[0].good_rejected and kept.where("doc_id % 2 = 0 and kept").isEmpty()
+    assert len(quality_rules.cutoffs(counted, labels, risk=0.06).collect()) >= 1
+
+
 def test_similar_random_small_sets(spark):
     rng = random.Random(5)
     rows = []
@@ -371,6 +388,32 @@ def test_licenses(spark):
     assert licenses.scan(df.limit(0), keep=["doc_id"]).isEmpty()
 
 
+def test_license_columns_of_any_name(spark):
+    """Columns named as helpers and results are kept, or give way; a path may be kept, and without ``keep`` all columns are."""
+    names = "doc_id long, path string, text string, x string, folder string, depth string, above string, given string, n string, license string, `own folder` string, k0 string"
+    row = (1, "a/LICENSE", "Released under the MIT License.", *"xfdagnlok")
+    df = spark.createDataFrame([row, (2, "a/b/c", "nothing", *"xfdagnlok"), (3, None, None, *[None] * 9)], names)
+    got = licenses.scan(df)
+    assert [c for c in df.columns if c != "license"] == got.columns[: len(df.columns) - 1] and len(set(got.columns)) == len(got.columns)
+    assert {r.doc_id: (r.license, r.origin, r.x, r["own folder"]) for r in got.collect()} == {1: ("MIT", "own", "x", "o"), 2: ("MIT", "inherited", "x", "o"), 3: (None, None, None, None)}
+    assert licenses.scan(df, keep=["path"]).columns[0] == "path" and licenses.scan(df, keep=["path"]).count() == 3
+
+
+def test_license_folders_by_salt(spark, monkeypatch):
+    rows = [(i, f"big/{i}.txt", "nothing") for i in range(300)] + [(300, "big/COPYING", "one two three four five six\nReleased under the MIT License.\nseven eight nine ten eleven twelve thirteen"), (301, "other/x", "nothing")]
+    df = spark.createDataFrame(rows, "doc_id long, path string, text string")
+    whole = {tuple(r) for r in licenses.scan(df, keep=["doc_id"]).collect()}
+    assert sum(r[1] == "MIT" for r in whole) == 301  # by the file's name, though it has more words of its own
+    monkeypatch.setattr(licenses, "BROADCAST_FOLDERS", 0)
+    assert {tuple(r) for r in licenses.scan(df, keep=["doc_id"]).collect()} == whole
+
+
+def test_license_identifiers(spark):
+    texts = ["x\n// SPDX-License-Identifier: MIT\ncode and more code here", "# spdx-license-identifier: GPL-2.0-or-later", "SPDX-License-Identifier: Unknown-9", "SPDX-License-Identifier: Apache-2.0 OR MIT"]
+    got = by_doc(licenses.notices(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")))
+    assert [(got[i].license, got[i].line) for i in range(4)] == [("MIT", 2), ("GPL-2.0", 1), (None, None), ("Apache-2.0", 1)]
+
+
 def test_license_bound_is_exact(spark, sf):
     """What the bound leaves out isn't near a template."""
     docs = documents(spark, sf)
