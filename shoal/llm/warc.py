@@ -27,8 +27,10 @@ from shoal.llm.arrowtext import text_slices
 
 MAGIC = b"\x1f\x8b\x08"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
-#: Bytes of an archive that a task scans, and of a read.
-RANGE_BYTES, READ_BYTES = 16_000_000, 1_000_000
+#: Bytes of an archive that a task scans, of a read, and that a read may expand to at once.
+RANGE_BYTES, READ_BYTES, EXPANDED = 16_000_000, 1_000_000, 4_000_000
+#: Rows of one payload that make it a hot key, and keys that its rows are dealt to.
+HOT, SALTS = 1_000_000, 64
 #: Of the compression of members.
 LEVEL = 6
 _ID = "urn:page:"
@@ -74,11 +76,14 @@ def revisits(pages: DataFrame, least: int = 0) -> DataFrame:
     """(page, digest, first) of the rows of ``pages`` (page, digest, size) whose payload an earlier page has.
 
     The number of rows of a payload doesn't matter: the least page is found with partial aggregation, and
-    only ids and digests are joined.
+    only ids and digests are joined, those of hot payloads (an empty page, a template) by several keys.
     """
     large = pages.where((F.col("size") >= least) & F.col("page").isNotNull()).select("page", "digest")
-    firsts = large.groupBy("digest").agg(F.min("page").alias("first"), F.max("page").alias("last")).where("first < last")
-    return large.join(firsts.select("digest", "first"), "digest").where("page > first").select("page", "digest", "first").distinct()
+    firsts = large.groupBy("digest").agg(F.min("page").alias("first"), F.max("page").alias("last"), F.count("*").alias("n")).where("first < last")
+    hot = firsts.where(F.col("n") >= HOT).select("digest", F.lit(True).alias("hot"))  # one in ``HOT`` rows at most
+    salts = F.when(F.col("n") >= HOT, F.sequence(F.lit(0), F.lit(SALTS - 1))).otherwise(F.array(F.lit(0)))
+    dealt = large.join(F.broadcast(hot), "digest", "left").withColumn("salt", F.when(F.col("hot"), F.pmod(F.xxhash64("page"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0)))
+    return dealt.join(firsts.select("digest", "first", F.explode(salts).alias("salt")), ["digest", "salt"]).where("page > first").select("page", "digest", "first").distinct()
 
 
 def write(df: DataFrame, path: str, *, page: str = "page_id", url: str = "url", html: str = "html", least: int = 0, date: str = "2024-01-01T00:00:00Z", level: int = LEVEL) -> None:
@@ -102,11 +107,40 @@ def write(df: DataFrame, path: str, *, page: str = "page_id", url: str = "url",
 
 
 def opened(path: str) -> tuple[fs.FileSystem, str]:
-    return fs.FileSystem.from_uri(re.sub(r"^file:/(?!/)", "file:///", path))
+    return fs.FileSystem.from_uri(re.sub(r"^s3[an]://", "s3://", re.sub(r"^file:/(?!/)", "file:///", path)))
 
 
-def members(source, start: int, end: int, size: int) -> Iterator[tuple[int, bytes]]:
-    """Offset and contents of the gzip members that start in a byte range and decode to WARC records."""
+def reachable(path: str) -> bool:
+    """Whether tasks can open a path by themselves. Other file systems only Spark reads, a whole archive at a time."""
+    try:
+        opened(path)
+    except (pa.ArrowException, OSError, ValueError):
+        return False
+    return True
+
+
+def taken(content: bytearray, ended: bool) -> Iterator[tuple[dict[str, str], bytes]]:
+    """Takes the records from the start of a member's contents that are there in full, or if it has ended also the rest: headers, by lower-case name, and block."""
+    while True:
+        while content[:2] == b"\r\n":
+            del content[:2]
+        split = content.find(b"\r\n\r\n")
+        if split < 0 or not content.startswith(b"WARC/"):
+            return
+        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in content[:split].decode("utf-8", "replace").split("\r\n")[1:])}
+        stated = headers.get("content-length", "0")
+        end = split + 4 + (int(stated) if stated.isdecimal() else 0)
+        if len(content) < end and not ended:
+            return
+        yield headers, bytes(content[split + 4 : end])
+        del content[:end]
+
+
+def records(source, start: int, end: int, size: int) -> Iterator[tuple[int, dict[str, str], bytes]]:
+    """Offset of the member, headers and block of the records of gzip members that start in a byte range and decode to WARC records.
+
+    A record is given as soon as it is decoded, so that a member of any size takes no more memory than its largest record. What can't be decoded is left out.
+    """
     buffer, base = b"", start  # bytes of the file from base on
 
     def more() -> bool:
@@ -131,67 +165,67 @@ def members(source, start: int, end: int, size: int) -> Iterator[tuple[int, byte
         if at >= end:
             return
         buffer, base = buffer[found:], at
-        unpack, out, fed, valid = zlib.decompressobj(31), [], 0, False
+        unpack, content, fed, valid, data = zlib.decompressobj(31), bytearray(), 0, False, b""
         try:
             while not unpack.eof:
-                if fed == len(buffer) and not more():
-                    break
-                out.append(unpack.decompress(buffer[fed:]))
-                fed = len(buffer)
-                if not valid and sum(map(len, out)) >= 5:
-                    out = [b"".join(out)]
-                    if not out[0].startswith(b"WARC/"):
+                if not data:
+                    if valid:  # there is no way back
+                        buffer, base, fed = buffer[fed:], base + fed, 0
+                    if fed == len(buffer) and not more():
+                        break
+                    data, fed = buffer[fed:], len(buffer)
+                content += unpack.decompress(data, EXPANDED)
+                data = unpack.unconsumed_tail
+                if not valid and len(content) >= 5:
+                    if not content.startswith(b"WARC/"):
                         break
                     valid = True
+                if valid:
+                    for headers, block in taken(content, unpack.eof):
+                        yield at, headers, block
         except zlib.error:
             valid = False
-        if unpack.eof and (valid or not any(out)):  # an empty member has no record
-            if valid:
-                yield at, b"".join(out)
-            at += fed - len(unpack.unused_data)
+        if unpack.eof and (valid or not content):  # an empty member has no record
+            at = base + fed - len(unpack.unused_data)
         else:
             at += 1
-
-
-def records(content: bytes) -> Iterator[tuple[dict[str, str], bytes]]:
-    """Headers, by lower-case name, and block of the records in a member."""
-    at = 0
-    while content.startswith(b"WARC/", at):
-        split = content.find(b"\r\n\r\n", at)
-        if split < 0:
-            return
-        headers = {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in content[at:split].decode("utf-8", "replace").split("\r\n")[1:])}
-        a = split + 4
-        at = a + int(headers.get("content-length", "0"))
-        yield headers, content[a:at]
-        while content[at : at + 2] == b"\r\n":
-            at += 2
+        if at < base:
+            buffer, base = b"", at
 
 
 def read(spark: SparkSession, path: str, *, payload: bool = True, range_bytes: int = RANGE_BYTES) -> DataFrame:
     """The records of all archives below a path; see ``RECORD``. Without ``payload`` that column is null, but still checked.
 
-    ``payload_bytes`` is the length of the full payload, which a revisit record states only; ``computed_digest`` is null there.
+    ``payload_bytes`` is the length of the full payload, which a revisit record states only; ``computed_digest`` is null there. Records without a type, id or digest have nulls;
+    empty archives and files without a member have no records. On file systems that only Spark can open, an archive is the range of one task, of 2 GB at most.
     """
     # content isn't asked for, so no file is read here
     files = spark.read.format("binaryFile").load(path).select("path", "length")
-    ranges = files.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(range_bytes).cast("bigint"))).alias("start"))
-    dealt = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    some = files.first()
+    if some is None or reachable(some["path"]):
+        ranges = files.where("length > 0").select("path", "length", F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("length") - 1, F.lit(range_bytes).cast("bigint"))).alias("start"), F.lit(None).cast("binary").alias("content"))
+        dealt = ranges.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")))
+    else:
+        dealt = spark.read.format("binaryFile").load(path).select("path", "length", F.lit(0).cast("bigint").alias("start"), "content")
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for r in batch.to_pylist():
-                system, name = opened(r["path"])
+            for path, length, start, content in zip(*batch.columns, strict=True):
+                path, length, start = path.as_py(), length.as_py(), start.as_py()
                 rows, weight = [], 0
-                with system.open_input_file(name) as source:
-                    for offset, content in members(source, r["start"], r["start"] + range_bytes, r["length"]):
-                        for headers, block in records(content):
-                            http, _, body = block.partition(b"\r\n\r\n")
-                            stated = re.search(rb"(?im)^content-length:\s*(\d+)", http)
-                            own = headers.get("warc-type") != "revisit"
-                            digest = headers.get("warc-payload-digest", "")
-                            rows.append((r["path"], offset, headers.get("warc-type"), headers.get("warc-record-id", "").strip("<>"), headers.get("warc-target-uri"), headers["warc-refers-to"].strip("<>") if "warc-refers-to" in headers else None, digest.rpartition(":")[2] or None, base32_sha1(body) if own else None, len(body) if own else int(stated[1]) if stated else None, body if own and payload else None))
-                            weight += len(body)
+                if content.is_valid:
+                    source, end = pa.BufferReader(content.as_buffer()), length
+                else:
+                    system, name = opened(path)
+                    source, end = system.open_input_file(name), start + range_bytes
+                with source:
+                    for offset, headers, block in records(source, start, end, length):
+                        http, _, body = block.partition(b"\r\n\r\n")
+                        stated = re.search(rb"(?im)^content-length:\s*(\d+)", http)
+                        own = headers.get("warc-type") != "revisit"
+                        digest = headers.get("warc-payload-digest", "")
+                        rows.append((path, offset, headers.get("warc-type"), headers.get("warc-record-id", "").strip("<>"), headers.get("warc-target-uri"), headers["warc-refers-to"].strip("<>") if "warc-refers-to" in headers else None, digest.rpartition(":")[2] or None, base32_sha1(body) if own else None, len(body) if own else int(stated[1]) if stated else None, body if own and payload else None))
+                        weight += len(body)
                         if weight > 4_000_000 or len(rows) >= 2000:
                             yield packed(rows)
                             rows, weight = [], 0
