@@ -56,7 +56,7 @@ class Words:
 class QueryBlock:
     """The windows of a block of benchmark items, in the order in which shards are searched."""
 
-    def __init__(self, items: list[str], texts: pa.Array, window: int):
+    def __init__(self, items: list[str | None], texts: pa.Array, window: int):
         words = Words(texts)
         self.items, self.window = items, window
         self.vocabulary, ids = np.unique(words.hashes, return_inverse=True)
@@ -140,10 +140,10 @@ def search(words: Words, block: QueryBlock) -> tuple[np.ndarray, np.ndarray, np.
 
 def blocks_of(benchmark: DataFrame, item: str, text: str, window: int, most: int = BLOCK_BYTES) -> Iterator[QueryBlock]:
     """Reads the query set once, a block at a time; the driver never has more than a block of its texts."""
-    items: list[str] = []
+    items: list[str | None] = []
     texts: list[str] = []
     size = 0
-    rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{text}`").cast("string").alias("t")).where("t is not null and i is not null")
+    rows = benchmark.select(F.col(f"`{item}`").cast("string").alias("i"), F.col(f"`{text}`").cast("string").alias("t")).where("t is not null")
     for r in rows.toLocalIterator():
         items.append(r["i"])
         texts.append(r["t"])
@@ -177,11 +177,13 @@ def _scan(df: DataFrame, benchmark: DataFrame, text: str, item: str, item_text:
             row = np.searchsorted(words.first, at, "right") - 1
             order = np.lexsort((at, -extent, row))
             head = order[np.r_[True, np.diff(row[order]) > 0]]
-            better = head[extent[head] > longest[row[head]]]
+            best, spot = longest[row[head]], where_longest[row[head]]
+            better = head[(extent[head] > best) | (extent[head] == best) & (at[head] - words.first[row[head]] < spot)]
             longest[row[better]] = extent[better]
             where_longest[row[better]] = at[better] - words.first[row[better]]
             for r, o in np.unique(np.stack([row, block.owner[query]]), axis=1).T.tolist():
-                items.setdefault(r, set()).add(block.items[o])
+                if block.items[o] is not None:
+                    items.setdefault(r, set()).add(block.items[o])
         hit = np.concatenate([[0], np.cumsum(np.cumsum(cover)[:-1] > 0)])
         n_hit = hit[words.first[1:]] - hit[words.first[:-1]]
         names = [sorted(items.get(r, ())) for r in range(rows)]
@@ -205,7 +207,7 @@ def scan(df: DataFrame, benchmark: DataFrame, *, text: str = "text", item: str =
     An item with fewer words than ``window``, but not none, is one window. ``share`` is the least share of words hit
     of a contaminated text, as (1, 20). ``longest_at`` is the word at which the longest verbatim match starts, -1 without one;
     of several, the first.
-    A null or empty text has no words and is clean; null items and items without words match nothing; repeated rows are scanned each;
+    A null or empty text has no words and is clean; items without words match nothing, those without an id have windows that are hit, but aren't counted as items; repeated rows are scanned each;
     an empty benchmark leaves everything clean. ``keep``: the columns that stay, all by default; one that is named as a
     result gives way to it.
     """

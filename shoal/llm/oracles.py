@@ -13,18 +13,20 @@ def contamination(window: int = 13) -> str:
     words = r"regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
     return f"""
     with items as (select cast(item_id as varchar) item, {words} w from benchmark),
-    win as (select item, least({window}, len(w)) n, array_to_string(w[i : i + least({window}, len(w)) - 1], ' ') k
+    win as (select item, least({window}, len(w)) n, array_to_string(w[i : i + least({window}, len(w)) - 1], ' ') k, i j
             from (select item, w, unnest(range(1, greatest(1, len(w) - {window} + 1) + 1)) i from items where len(w) > 0)),
     docs as (select doc_id, {words} w from documents),
     sizes as (select distinct n from win),
     spot as (select doc_id, n, i, array_to_string(w[i : i + n - 1], ' ') k
            from (select doc_id, w, n, unnest(range(1, len(w) - n + 2)) i from docs, sizes where len(w) >= n)),
-    hit as (select distinct doc_id, i, spot.n, item from spot join win on spot.n = win.n and spot.k = win.k),
+    hit as (select distinct doc_id, i, spot.n, item, j from spot join win on spot.n = win.n and spot.k = win.k),
+    runs as (select doc_id, min(i) a, count(*) + n - 1 len from (select *, i - row_number() over (partition by doc_id, item, n, i - j order by i) g from hit) group by doc_id, item, n, i - j, g),
+    long as (select doc_id, max(len) longest, arg_max(a, len * 1000000000 - a) - 1 a from runs group by doc_id),
     per_item as (select doc_id, count(distinct item) n_items, sha256(array_to_string(list_sort(list(distinct item)), ',')) s from hit group by doc_id),
     places as (select doc_id, count(distinct p) n_hit from (select doc_id, unnest(range(i, i + n)) p from hit) group by doc_id)
-    select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, coalesce(s, sha256('')) items_sha256,
+    select doc_id, cast(len(w) as bigint) n_words, coalesce(n_hit, 0) n_hit, coalesce(n_items, 0) n_items, coalesce(s, sha256('')) items_sha256, cast(coalesce(longest, 0) as bigint) longest_match, cast(coalesce(a, -1) as bigint) longest_at,
            coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) contaminated
-    from docs left join per_item using (doc_id) left join places using (doc_id)"""
+    from docs left join per_item using (doc_id) left join places using (doc_id) left join long using (doc_id)"""
 
 
 WARC = """

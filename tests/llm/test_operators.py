@@ -74,6 +74,16 @@ def test_contamination(spark, sf, docs):
     assert decontaminate.scan(docs, bench.limit(0)).where("contaminated").isEmpty()
 
 
+def test_longest_matches(spark):
+    words = [f"w{i}" for i in range(60)]
+    bench = spark.createDataFrame([(1, " ".join(words[:30])), (2, " ".join(words[20:60])), (None, "x1 x2 x3")], "item_id long, text string")
+    texts = ["a b " + " ".join(words[3:25]) + " c", " ".join(words), " ".join(words[:12]), "x1 x2 x3 " + " ".join(words[5:18]) + " y " + " ".join(words[30:43])]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for size in (40, 1_000_000):
+        got = {r.doc_id: (r.longest_match, r.longest_at, r.n_hit, r.n_items) for r in decontaminate.scan(docs, bench, block_bytes=size).collect()}
+        assert got == {0: (22, 2, 22, 1), 1: (40, 20, 60, 2), 2: (0, -1, 0, 0), 3: (13, 3, 29, 2)}
+
+
 def test_secrets(docs):
     want = {d: brute.base_secrets(t) for d, t in texts(docs)}
     rows = secrets.scan(docs, keep=["doc_id"]).collect()
@@ -347,8 +357,40 @@ def pages_wanted(rows):
     return out
 
 
-def test_warc(spark, sf):
+def archive(rng, texts, whole):
+    """A WARC file as other writers make it: records of one member each, or all in one member."""
+    import gzip
+
+    made = [f"WARC/1.0\r\nWARC-Type: response\r\nWARC-Record-ID: <urn:uuid:{i}>\r\nContent-Length: {len(b)}\r\n\r\n".encode() + b + b"\r\n\r\n" for i, b in enumerate(b"HTTP/1.1 200 OK\r\n\r\n" + t for t in texts)]
+    return gzip.compress(b"".join(made)) if whole else b"".join(gzip.compress(m) for m in made)
+
+
+@pytest.mark.parametrize("alone", [True, False])
+def test_warc_of_other_writers(spark, tmp_path, monkeypatch, alone):
+    """Archives with a member for each record, one member for all, junk between members, and a broken end; also where only Spark opens files."""
+    monkeypatch.setattr(warc, "reachable", lambda path: alone)
+    monkeypatch.setattr(warc, "READ_BYTES", 700)
+    monkeypatch.setattr(warc, "EXPANDED", 900)
+    rng = random.Random(8)
+    texts = [bytes(rng.choices(range(256), k=rng.randrange(0, 3000))) for _ in range(40)] + [b"", b"\x1f\x8b\x08 no member", b"z" * 50_000]
+    (tmp_path / "each.warc.gz").write_bytes(archive(rng, texts, False))
+    (tmp_path / "whole.warc.gz").write_bytes(archive(rng, texts, True))
+    (tmp_path / "junk.warc.gz").write_bytes(b"\x1f\x8b\x08junk" + archive(rng, texts[:3], False) + b"\x1f\x8b\x08" * 3 + archive(rng, texts[3:5], False))
+    (tmp_path / "cut.warc.gz").write_bytes(archive(rng, texts[:2], False) + archive(rng, [b"q" * 900 + bytes(rng.choices(range(256), k=4000))], False)[:-500])
+    (tmp_path / "empty.warc.gz").write_bytes(b"")
+    for size in (500, 1_000_000):
+        got: dict[str, list] = {}
+        for r in warc.read(spark, str(tmp_path), range_bytes=size).collect():
+            got.setdefault(r.path.rpartition("/")[2], []).append((r.offset, bytes(r.payload)))
+        found = {k: sorted(p for _, p in v) for k, v in got.items()}
+        assert found["each.warc.gz"] == found["whole.warc.gz"] == sorted(texts)
+        assert found["junk.warc.gz"] == sorted(texts[:5]) and found["cut.warc.gz"] == sorted(texts[:2])
+        assert "empty.warc.gz" not in found
+
+
+def test_warc(spark, sf, monkeypatch):
     rows = [(i, None if i % 7 == 0 else f"http://a/ b\n{i}", [None, "", "é\x00\r\n\r\n" * (i % 4), f"x{i}" * 3, "same" * 500][i % 5]) for i in range(60)]
+    monkeypatch.setattr(warc, "HOT", 5)
     rows.append((60, "u", "".join(random.Random(1).choices("abcdefghij", k=17_000_000))))  # beyond 16 MB a member's last byte isn't zero
     for df, wanted in ((spark.createDataFrame(rows, "page_id long, url string, html string"), pages_wanted(rows)), (spark.read.parquet(f"{sf}/pages.parquet"), None)):
         wanted = wanted or pages_wanted([(r.page_id, r.url, r.html) for r in df.collect()])

@@ -43,3 +43,33 @@ def test_stages(spark):
     assert len(after) == len(want)
     for r in after:
         assert r["ids"] == enc.encode_ordinary(want[r["doc_id"]]) and r["n_tokens"] == len(r["ids"]) and r["decoded_sha256"] == brute.sha(want[r["doc_id"]])
+
+
+def rows(df):
+    return sorted(map(repr, (tuple(r) for r in df.collect())))
+
+
+def test_stages_on_awkward_rows(spark):
+    """Nulls in any column, empty and very long texts, repeated rows, one id with several texts, and columns named as helpers are."""
+    sf = "/root/testdata/sf0.001"
+    long = " ".join(f"word{i % 5000} of text {i % 7}" for i in range(60_000))
+    good = spark.read.parquet(f"{sf}/documents.parquet").limit(6).collect()
+    texts = [None, "", "  ", long, "a b", *[r.text for r in good]]
+    made = [(i, t, None if i % 2 else "en", None if i % 3 else "src", None, "x", 1.0, "k") for i, t in enumerate(texts)]
+    made += [made[-1], made[-1], (made[-1][0], "another text of the id " * 20, "en", "src", 5, None, None, None), (None, good[0].text, "en", "src", 7, "x", 1.0, "k"), (None, None, None, None, None, None, None, None)]
+    docs = spark.createDataFrame(made, "doc_id long, text string, lang string, source string, n_chars long, rep string, score double, key string").repartition(3)
+    for name, stage in P.STAGES:
+        own, none = stored(stage(spark, docs, sf)), stage(spark, docs.limit(0), sf)
+        assert none.columns == own.columns and none.isEmpty()
+        if name != "tokens":
+            assert own.columns == docs.columns
+        if name == "secrets":
+            assert own.count() == docs.count()
+        elif name == "tokens":
+            assert own.count() == docs.count() and own.where("doc_id is null").count() == 2
+        elif name == "near_duplicates":
+            kept = [(r.doc_id, r.text) for r in own.collect()]
+            assert (10, "another text of the id " * 20) in kept and kept.count((10, texts[10])) == 1 and sum(d is None for d, _ in kept) == 2
+            assert not set(rows(own)) - set(rows(docs))
+        else:
+            assert not set(rows(own)) - set(rows(docs))
