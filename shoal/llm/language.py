@@ -4,7 +4,8 @@ Each language has a suffix automaton of its labelled text.  A text is parsed aga
 phrases that occur there; few phrases mean that the text is like the labelled text.  The language with the fewest phrases,
 each weighed by the logarithm of the size of what it is found in, wins.
 
-Edges of an automaton lie in a hash table, so that it takes as much memory as its text is long, whatever the number of letters.  A long text is
+Edges of an automaton lie in a hash table, so that it takes as much memory as its text is long, whatever the number of letters; where that is
+little for all languages together, tasks spread it to a table by state and letter, which gives the same and is faster.  A long text is
 parsed as a whole, but not from one end to the other: pieces of it start at once, all pieces of a slice advance by a letter at a time, and the parse
 of each goes on into the next piece until it comes to a place where that one began a phrase too.  From there on both are the same.
 """
@@ -28,6 +29,8 @@ from shoal.llm.sampling import hash_bound
 DOCUMENTS, SNIPPET = 300, 160
 #: Letters of a piece.
 PIECE = 256
+#: Bytes of the tables of all languages by state and letter; more stay hash tables.
+TABLE_BYTES = 100_000_000
 UNDETERMINED = "und"
 
 RESULT = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("phrases", T.LongType())]
@@ -44,10 +47,11 @@ class Automaton:
 
     def __init__(self, codes: list[int], width: int):
         follow = suffix_automaton(codes)
-        self.size, self.nowhere = len(codes), len(follow) * width
+        self.size, self.width, self.nowhere = len(codes), width, len(follow) * width
         state = width * np.repeat(np.arange(len(follow)), [len(edges) for edges in follow])
         code = np.fromiter((c for edges in follow for c in edges), np.int64, len(state))
         to = width * np.fromiter((t for edges in follow for t in edges.values()), np.int64, len(state))
+        self.table: np.ndarray | None = None
         self.start = np.full(width, self.nowhere, np.int64)
         self.start[code[state == 0]] = to[state == 0]
         keys = state + code
@@ -65,9 +69,23 @@ class Automaton:
     def _place(self, keys):
         return keys * _SPREAD >> self.shift & self.mask
 
+    def table_bytes(self) -> int:
+        return 4 * (self.nowhere + self.width)
+
+    def spread(self) -> None:
+        """Makes the table by state and letter; without an edge it has the complement of the state where the next phrase begins."""
+        self.table = np.tile(~self.start, self.nowhere // self.width + 1).astype(np.int32)
+        used = self.keys >= 0
+        self.table[self.keys[used]] = self.to[used]
+
     def next(self, state: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Next states, and which of them begin a phrase as there was no edge."""
         keys = state + code
+        if self.table is not None:
+            to = self.table.take(keys)
+            lost = np.flatnonzero(to < 0)
+            to[lost] = ~to[lost]
+            return to, lost
         place = self._place(keys)
         found = self.keys.take(place)
         to = self.to.take(place)
@@ -207,6 +225,10 @@ def phrase_counts(model: Model, texts: pa.Array) -> tuple[np.ndarray, np.ndarray
     order = np.argsort(start - end, kind="stable")
     active = np.searchsorted(start[order] - end[order], -np.arange(PIECE), "left")  # pieces longer than each step
     starts = start[order]
+    if sum(a.table_bytes() for a in model.automata) <= TABLE_BYTES:
+        for automaton in model.automata:
+            if automaton.table is None:
+                automaton.spread()
     follows = np.flatnonzero(owner[1:] == owner[:-1]) + 1  # pieces that go on with a text
     for k, automaton in enumerate(model.automata):
         begins = np.zeros(len(codes), bool)  # whether a phrase of its piece begins at a letter

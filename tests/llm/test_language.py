@@ -35,9 +35,11 @@ def texts(rng):
     ]
 
 
+@pytest.mark.parametrize("table", [0, 100_000_000])
 @pytest.mark.parametrize("piece", [3, 16, 256])
-def test_whole_parses(monkeypatch, piece):
+def test_whole_parses(monkeypatch, piece, table):
     monkeypatch.setattr(language, "PIECE", piece)
+    monkeypatch.setattr(language, "TABLE_BYTES", table)
     known, found = texts(random.Random(piece))
     found = [" ".join(t.split()) for t in found]
     counts, letters = language.phrase_counts(language.train({"x": [known]}), pa.array([None, "", "?", *found]))
