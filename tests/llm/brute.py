@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
+import numpy as np
+
 LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 ITEM_WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 WORD = re.compile("[^\x20\x09-\x0d]+")
@@ -95,3 +98,64 @@ def unigram_count(word: bytes, scores, longest, lonely):
             options.append((best[end - 1][0] + lonely, best[end - 1][1] - 1))
         best.append(max(options))
     return -best[-1][1]
+
+
+def quality_features(text):
+    """What the quality model looks at, by plain counts."""
+    b = (text or "").encode()
+    w, lines = re.findall(rb"[^\x20\x09-\x0d]+", b), [x for x in b.split(b"\n") if x]
+    n, size, count = max(len(w), 1), max(sum(map(len, w)), 1), lambda chars: sum(c in chars for c in b)
+    triples = Counter(zip(w, w[1:], w[2:], strict=False))
+    per_word, per_byte = 1 / n, 1 / size  # features are ties of bin edges, so they are rounded alike
+    return [
+        float(np.log1p(len(w))), sum(map(len, w)) * per_word, count(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ") * per_byte, count(b"#*$%&<>@^~\\{}[]=") * per_word, count(b"!") * per_word, count(b"|") * per_word,
+        count(b"0123456789") * per_byte, count(b".,;:?") * per_word, sum(c >= 0x80 for c in b) * per_byte, len(lines) * per_word,
+        1 - len(set(lines)) / len(lines) if lines else 0.0, len(set(w)) * per_word, sum(x == y for x, y in zip(w, w[1:], strict=False)) * per_word,
+        sum(c for c in triples.values() if c > 1) / max(len(w) - 2, 1), max(map(len, w), default=0), max(Counter(w).values(), default=0) * per_word,
+    ]
+
+
+def additive_score(model, x):
+    """The logistic of a model's base, its tables' entries, and its pairs' entries."""
+    place = lambda edges, v: sum(e <= v for e in edges)
+    total = model.base + sum(t[place(e, v)] for e, t, v in zip(model.edges, model.tables, x, strict=False))
+    total += sum(t[place(model.pair_edges[a], x[a]), place(model.pair_edges[b], x[b])] for (a, b), t in zip(model.pairs, model.pair_tables, strict=True))
+    return 1 / (1 + math.exp(-total))
+
+
+def entropy_spans(text, classes, allowed, separators="/_=-+", near=20, least=20):
+    """Joined spans of all windows of high entropy outside allowed places and what is near them, each window by itself."""
+    every = "".join(c.characters for c in classes)
+    found = []
+    for run in re.finditer(f"[{re.escape(every)}]{{{least},}}", text):
+        s, places = run[0], []
+        for m in (m for x in allowed for m in re.finditer(x, s)):
+            a, b = m.span()
+            left, right = a, b
+            while left > 0 and a - left < near and s[left - 1] not in separators:
+                left -= 1
+            while right < len(s) and right - b < near and s[right] not in separators:
+                right += 1
+            places.append((left, right, a, b))
+        open_ = [not any(l <= i < r for l, r, _, _ in places) for i in range(len(s))]  # noqa: E741
+        p = 0
+        while p < len(s):
+            q = p
+            while q < len(s) and open_[q]:
+                q += 1
+            back = max((b for l, _, _, b in places if l < p), default=0)  # noqa: E741
+            on = min((a for l, _, a, _ in places if l == q), default=len(s))  # noqa: E741
+            for k in classes:
+                for i in range(p, q - k.window + 1):
+                    w = s[i : i + k.window]
+                    if set(w) <= set(k.characters) and all(re.search(x, w) for x in k.needs) and -sum(c / k.window * math.log2(c / k.window) for c in Counter(w).values()) >= k.least - 1e-12:
+                        a, b = back if i == p else i, on if i + k.window == q else i + k.window
+                        found.append((run.start() + a, run.start() + b))
+            p = max(q, p) + 1
+    joined = []
+    for a, b in sorted(found):
+        if joined and a <= joined[-1][1]:
+            joined[-1][1] = max(b, joined[-1][1])
+        else:
+            joined.append([a, b])
+    return [tuple(x) for x in joined]
