@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from shoal.operators.running import running
+
 #: Keys of a page, at most.
 MAX_KEYS = 1000
 
@@ -104,8 +106,25 @@ def latest(versions: DataFrame) -> DataFrame:
 
 def versions_in_order(content: DataFrame, markers: DataFrame) -> DataFrame:
     """Versions and delete markers as one relation with the columns of both, ``place`` is the order within a key, newest first."""
-    rows = content.unionByName(markers, allowMissingColumns=True)
-    return rows.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("last_modified"), F.desc(F.col("version_id").cast("bigint")))))
+    return running(content.unionByName(markers, allowMissingColumns=True), ["key"], [F.desc("last_modified"), F.desc(F.col("version_id").cast("bigint"))])
+
+
+def list_objects(objects: DataFrame, versions: DataFrame, prefix: str = "", *, use_v1: bool = False, include_versions: bool = False, delimiter: str | None = None, recursive: bool = False, marker: str | None = None, start_after: str | None = None, key_marker: str | None = None) -> DataFrame:
+    """(key, version_id, is_delete_marker, size, is_prefix): a listing of one of three kinds. The first counts before versions, and versions before the second.
+
+    Each kind has its own start: ``marker``, ``start_after``, or ``key_marker`` (where that is null, ``start_after``).
+    """
+    mark = delimiter_of(delimiter, recursive)
+    none = [F.lit(None).cast("string").alias("version_id"), F.lit(False).alias("is_delete_marker")]
+    if use_v1 or not include_versions:
+        return listing(objects, prefix, delimiter=delimiter, recursive=recursive, after=marker if use_v1 else start_after).select("key", *none, "size", "is_prefix")
+    rows = under(versions, prefix, after=key_marker if key_marker is not None else start_after)
+    own = lambda x: x.select("key", "version_id", "is_delete_marker", "size", F.lit(False).alias("is_prefix"))
+    if mark is None:
+        return own(rows)
+    rolled = rows.withColumn("common", entry(prefix, mark))
+    folders = rolled.where("common is not null").select(F.col("common").alias("key")).distinct().select("key", *none, F.lit(None).cast("bigint").alias("size"), F.lit(True).alias("is_prefix"))
+    return own(rolled.where("common is null")).unionByName(folders)
 
 
 def buckets(objects: DataFrame) -> DataFrame:

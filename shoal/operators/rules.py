@@ -6,9 +6,11 @@ an equality, so that many rules cost a hash look-up and not a comparison each.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shoal.operators.running import running
+
 #: Rules that are sent to every task at most; beyond that they are shuffled.
 BROADCAST_RULES = 10_000
 
@@ -63,9 +65,8 @@ def transitions(objects: DataFrame, rules: DataFrame, now: Column) -> DataFrame:
 
 def noncurrent(versions: DataFrame) -> DataFrame:
     """Versions that have a successor, with its time and how many noncurrent ones are newer."""
-    order = Window.partitionBy("key").orderBy(F.desc("last_modified"), F.desc(F.col("version_id").cast("bigint")))
-    rows = versions.withColumns({"place": F.row_number().over(order), "succeeded_at": F.lag("last_modified").over(order)})
-    return rows.where("place > 1").withColumn("newer", F.col("place") - 2)
+    rows = running(versions, ["key"], [F.desc("last_modified"), F.desc(F.col("version_id").cast("bigint"))], previous=("last_modified",))
+    return rows.where("place > 1").withColumn("newer", F.col("place") - 2).withColumnRenamed("previous last_modified", "succeeded_at")
 
 
 def noncurrent_expirations(versions: DataFrame, rules: DataFrame, now: Column) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shoal.sources.storage import stored
+from shoal.operators.running import running
 
 KIB, MIB, GIB = 1 << 10, 1 << 20, 1 << 30
 MIN_PART, MAX_PART, DEFAULT_PART, MAX_PARTS = 5 * MIB, 5 * GIB, 64 * MIB, 10_000
@@ -69,10 +69,11 @@ def compose(sources: DataFrame, *, by: str, order: str, part: int = MAX_PART) ->
 
 
 def append_offsets(parts: DataFrame, *, by: str, order: str, length: str, start: str | None = None) -> DataFrame:
-    """Where each part goes when parts are appended in order, and the size after it."""
-    upto = F.sum(length).over(Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, 0))
-    base = F.col(start) if start else F.lit(0)
-    return parts.withColumns({"offset": base + upto - F.col(length), "size_after": base + upto})
+    """Where each part goes when parts are appended in order, and the size after it. A target of any number of parts is dealt to many tasks."""
+    base = F.coalesce(F.col(start), F.lit(0)) if start else F.lit(0)
+    before = F.col(f"`before {length}`")
+    rows = running(parts, [by], [F.col(order)], sums=(length,))
+    return rows.withColumns({"offset": base + before, "size_after": base + before + F.col(length)}).drop("place", f"before {length}")
 
 
 def renamed(objects: DataFrame, source: str, target: str, *, key: str = "key") -> DataFrame:
@@ -81,18 +82,8 @@ def renamed(objects: DataFrame, source: str, target: str, *, key: str = "key") -
 
 
 def delete_batches(keys: DataFrame, *, key: str = "key", most: int = DELETE_BATCH) -> DataFrame:
-    """Deals keys to requests of ``most`` at most.
-
-    Keys are numbered without bringing all to one task: ranges of keys are counted, and a range's batches begin where the range before it
-    ends.  So a batch number is the same wherever partitions end.  The ranges are stored: their bounds come from a sample, so another evaluation may have others.
-    """
-    n = int(keys.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged = keys.repartitionByRange(n, key).withColumn("range", F.spark_partition_id())
-    local = stored(ranged.withColumn("place", F.row_number().over(Window.partitionBy("range").orderBy(key))))
-    sizes = local.groupBy("range").agg(F.count("*").alias("n"))
-    before = sizes.withColumn("before", F.coalesce(F.sum("n").over(Window.orderBy("range").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))  # a row for each range
-    joined = local.join(F.broadcast(before.select("range", "before")), "range")
-    return joined.withColumn("batch", F.floor((F.col("before") + F.col("place") - 1) / most).cast("bigint")).drop("range", "place", "before")
+    """Deals keys, in their order, to requests of ``most`` at most; a batch number is the same wherever partitions end."""
+    return running(keys, [], [F.col(key)]).withColumn("batch", F.floor((F.col("place") - 1) / most).cast("bigint")).drop("place")
 
 
 def delete_outcome(requests: DataFrame, objects: DataFrame, *, key: str = "key") -> DataFrame:

@@ -49,10 +49,10 @@ def select_to_json(spark, sf):
     return SelectRequest("select p_partkey, p_brand, p_size from S3Object where p_size > 40", ParquetInput(), JsonOutput()).records(spark, f"{sf}/part.parquet")
 
 
-@query()
+@query("""select cast(o as bigint) as "offset", record from (select record, sum(strlen(record) + 1) over (order by n_nationkey) - strlen(record) - 1 as o from (select n_nationkey, n_nationkey || '|' || n_name || '|' || n_regionkey as record from nation)) where o between 40 and 200""")
 def select_scan_range(spark, sf):
     path = new_folder(spark)
-    relation(spark, sf, "nation").orderBy("n_nationkey").coalesce(1).select(F.to_csv(F.struct("*")).alias("value")).write.text(path)
+    relation(spark, sf, "nation").orderBy("n_nationkey").coalesce(1).select(F.concat_ws("|", "n_nationkey", "n_name", "n_regionkey").alias("value")).write.text(path)  # one object
     return scan_range(spark, path, 40, 200)
 
 

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from shoal.plans import configs, objects, rules  # noqa: F401  their queries register themselves
+from shoal.plans import configs, copies, objects, rules  # noqa: F401  their queries register themselves
 from shoal.plans.core import Query, registered
 
 

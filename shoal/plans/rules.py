@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from shoal.operators import rules, transfer
+from shoal.operators.running import rolling
 from shoal.plans.core import query
 from shoal.sources.relations import relation, with_oracle
 from shoal.sources.storage import new_folder
@@ -231,8 +231,8 @@ def qos_sliding(spark, sf):
 
 @query("select event_id, count(*) over (partition by user_id order by ts range between interval 3599999999 microseconds preceding and current row) as last_hour, cast(sum(cast(round(value * 100) as bigint)) over (partition by user_id order by ts range between interval 3599999999 microseconds preceding and current row) as bigint) as bytes from events")
 def qos_rolling(spark, sf):
-    span = Window.partitionBy("user_id").orderBy(F.unix_micros(F.col("ts").cast("timestamp"))).rangeBetween(-3_599_999_999, 0)
-    return relation(spark, sf, "events").select("event_id", F.count("*").over(span).alias("last_hour"), F.sum(F.round(F.col("value") * 100).cast("bigint")).over(span).alias("bytes"))
+    amount = F.sum(F.round(F.col("value") * 100).cast("bigint"))
+    return rolling(relation(spark, sf, "events"), ["user_id"], "ts", 3_600_000_000, last_hour=F.count("*"), bytes=amount).select("event_id", "last_hour", "bytes")
 
 
 @query("select event_id, case when event_type in ('view', 'click') then 'fast' when user_id % 2 = 0 then 'even' end as rule_id from events")

@@ -97,3 +97,16 @@ def annotations(df: DataFrame, xml: str, *, keep: list[str]) -> DataFrame:
     own = [F.col(f"`{c}`") for c in keep]
     rows = _decoded(df, xml, ANNOTATIONS, keep).select(*own, F.explode("document.Annotation").alias("a"))
     return rows.select(*own, F.coalesce("a.AnnotationName", F.lit("")).alias("name"), F.coalesce(F.col("a.Size").try_cast("bigint"), F.lit(0)).alias("size"), trim_quotes(F.coalesce("a.ETag", F.lit(""))).alias("etag"), parse_iso8601("a.LastModified").alias("last_modified"))
+
+
+INVENTORY = "items array<struct<bucket:string,id:string,user:string,yamlDef:string>>, nextContinuationToken string"
+
+
+def inventory(pages: DataFrame, json: str, *, by: str, page: str, token: str) -> DataFrame:
+    """(by, page, id, user, definition) of all pages of inventory configurations, up to the first whose next token is missing, empty, or that which it was asked with."""
+    rows = pages.select(by, page, token, F.from_json(F.col(json), INVENTORY).alias("document"))
+    following = F.coalesce("document.nextContinuationToken", F.lit(""))
+    ends = F.when((following == "") | (following == F.coalesce(token, F.lit(""))), F.col(page))
+    last = rows.groupBy(by).agg(F.min(ends).alias("last page"))
+    kept = rows.join(last, by).where(F.col("last page").isNull() | (F.col(page) <= F.col("last page")))
+    return kept.select(by, page, F.explode("document.items").alias("i")).select(by, page, F.col("i.id").alias("id"), F.col("i.user").alias("user"), F.coalesce("i.yamlDef", F.lit("")).alias("definition"))

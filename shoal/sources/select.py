@@ -9,8 +9,10 @@ import re
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
+import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Observation, SparkSession
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 VIEW = "S3Object"
@@ -135,21 +137,32 @@ def with_progress(df: DataFrame) -> tuple[DataFrame, Observation]:
 def scan_range(spark: SparkSession, path: str, start: int, end: int) -> DataFrame:
     """(offset, record): lines of an uncompressed text whose first byte is in [start, end].
 
-    A file's bytes are read in the tasks, a file at a time; a line needs all before it in its file to have an offset.
+    Blocks of a file are read by tasks of their own. A line's offset is what the file's earlier blocks hold, a sum for each, and what its own block holds before it.
+    A mark of byte order at the start of a file isn't counted.
     """
     if not 0 <= start <= end:
         raise ValueError("a scan range has both ends")
+    text = spark.read.option("lineSep", "\n").text(path).select(F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.col("value").cast("binary").alias("line")).where(F.col("block") <= end)
+    sizes = text.groupBy("file", "block").agg(F.sum(F.octet_length("line") + 1).alias("bytes"))
+    earlier = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each block
+    begins = sizes.select("file", "block", F.coalesce(F.sum("bytes").over(earlier), F.lit(0)).alias("begin"))
 
-    def lines(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def placed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, last = 0, None  # lines of a block come in their order
         for batch in batches:
-            for content in batch.column(0):
-                data, at, rows = content.as_buffer().to_pybytes(), 0, []
-                at = 0 if start == 0 else data.find(b"\n", start - 1) + 1 or len(data)
-                while at < len(data) and at <= end:
-                    stop = data.find(b"\n", at)
-                    stop = len(data) if stop < 0 else stop
-                    rows.append((at, data[at:stop].decode("utf-8", "replace")))
-                    at = stop + 1
-                yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.string())], names=["offset", "record"])
-
-    return spark.read.format("binaryFile").load(path).select("content").mapInArrow(lines, "offset bigint, record string")
+            if not batch.num_rows:
+                continue
+            size = pc.binary_length(batch.column(2)).to_numpy().astype(np.int64) + 1
+            file, block = batch.column(0).dictionary_encode().indices.to_numpy(), batch.column(1).to_numpy()
+            new = np.concatenate([[True], (file[1:] != file[:-1]) | (block[1:] != block[:-1])])
+            upto = np.cumsum(size) - size
+            group = np.cumsum(new) - 1
+            local = upto - upto[np.flatnonzero(new)][group]
+            if (batch.column(0)[0], batch.column(1)[0]) == last:
+                local[group == 0] += at
+            at, last = int(local[-1] + size[-1]), (batch.column(0)[-1], batch.column(1)[-1])
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(local), batch.column(2)], names=["file", "block", "place", "line"])
+
+    lines = text.mapInArrow(placed, "file string, block bigint, place bigint, line binary")
+    offset = F.col("begin") + F.col("place")
+    return lines.join(begins, ["file", "block"]).where(offset.between(start, end)).select(offset.alias("offset"), F.col("line").cast("string").alias("record"))
