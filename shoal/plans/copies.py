@@ -98,7 +98,7 @@ def get_object(spark, sf):
     """Whole objects, a file each."""
     path = new_folder(spark)
     relation(spark, sf, "nation").select("n_nationkey", F.col("n_name").alias("value")).write.partitionBy("n_nationkey").text(path)
-    return content.contents(spark, path).select(F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("bigint").alias("n_nationkey"), "size", F.md5("content").alias("etag"))
+    return content.contents(spark, path).select(F.regexp_extract("path", "n_nationkey=([0-9]+)", 1).cast("int").alias("n_nationkey"), "size", F.md5("content").alias("etag"))
 
 
 @query("select doc_id, to_base64(unhex(sha256(text))) as checksum from documents where strlen(text) > 0")
