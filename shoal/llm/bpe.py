@@ -21,8 +21,9 @@ from shoal.llm.arrowtext import give_back
 from shoal.llm.wordblocks import ragged, word_values
 
 _encoders: dict = {}
-#: Ids that one numpy pass decodes.
-IDS = 500_000
+#: Ids that one numpy pass decodes, and words whose ids one pass puts in place.
+IDS, PLACES = 500_000, 250_000
+_ENCODED = pa.schema([("doc", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -64,10 +65,17 @@ def encode(df: DataFrame, ranks: dict[bytes, int], pattern: str, *, doc: str = "
         return np.array(size, np.int64), np.array(flat, np.int64)
 
     def finish(docs: list[int], counts: np.ndarray, place: np.ndarray, values: np.ndarray, offsets: np.ndarray) -> pa.Table:
-        size = np.r_[0, np.cumsum((offsets[1:] - offsets[:-1])[place])]
-        ends = size[np.cumsum(counts)]
-        flat = pa.array(ragged(values, offsets, place).astype(np.int32))
-        return pa.table([pa.array(docs, pa.int64()), pa.ListArray.from_arrays(pa.array(np.r_[0, ends].astype(np.int32)), flat)], names=["doc", "ids"])
+        """By runs of texts with a bounded number of words, each a batch of its own: the ids of a whole block take some ten times its bytes on the way."""
+        size, ends, batches, at = np.diff(offsets), np.cumsum(counts), [], 0
+        while at < len(docs):
+            before = ends[at - 1] if at else 0
+            upto = max(at + 1, int(np.searchsorted(ends, before + PLACES, "right")))
+            own = place[before : ends[upto - 1]]
+            rows = np.r_[0, np.cumsum(size[own])][np.r_[0, ends[at:upto] - before]]
+            flat = pa.array(ragged(values, offsets, own).astype(np.int32))
+            batches.append(pa.RecordBatch.from_arrays([pa.array(docs[at:upto], pa.int64()), pa.ListArray.from_arrays(pa.array(rows.astype(np.int32)), flat)], schema=_ENCODED))
+            at = upto
+        return pa.Table.from_batches(batches, schema=_ENCODED)
 
     found = word_values(df, doc, text, pattern, work, finish, "doc bigint, ids array<int>", buckets)
     return found.select(F.col("doc").alias(doc), F.col("ids").alias(ids))

@@ -91,7 +91,7 @@ def shingle_sets(texts: pa.Array, width: int = WORDS) -> tuple[np.ndarray, np.nd
 
 
 def _bucket(grams: np.ndarray, buckets: int) -> np.ndarray:
-    return ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int64)
+    return ((grams >> np.uint64(32)) % np.uint64(buckets)).astype(np.int32)
 
 
 def _rest(grams: np.ndarray, buckets: int) -> tuple[np.ndarray, np.ndarray]:
@@ -114,10 +114,11 @@ _ROW_SQL = "key bigint, block bigint, part int, payload binary"
 def _blocks_out(block: int, head, grams: np.ndarray, sizes: np.ndarray, buckets: int) -> pa.RecordBatch:
     """Rows of a block: its head, which a bucket only hands on, and the rest of its hashes for each bucket."""
     bucket = _bucket(grams, buckets)
-    owner = np.repeat(np.arange(len(sizes)), sizes)
+    owner = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
     order = np.argsort(bucket, kind="stable")
-    edges = np.searchsorted(bucket[order], np.arange(buckets + 1))
+    edges = np.r_[0, np.cumsum(np.bincount(bucket, minlength=buckets))]
     low, high = _rest(grams[order], buckets)
+    del bucket
     rows = [(zlib.crc32(block.to_bytes(8, "big")) % buckets, block, -1, _packed(head))]
     for b in range(buckets):
         at = slice(edges[b], edges[b + 1])

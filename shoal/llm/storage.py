@@ -7,6 +7,9 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+#: Bytes of a row group. Writers hold one in memory, and readers the columns of one, beside the workers of their tasks.
+GROUP_BYTES = 16 << 20
+
 
 def shared_folder(spark: SparkSession) -> str:
     """A new path below ``spark.checkpoint.dir``. Where that is unset, as in tests on one machine, below a local folder; on a cluster that is an error."""
@@ -21,7 +24,7 @@ def shared_folder(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """Writes a table to the shared folder and reads it again: lineage ends there, and a lost executor costs no step before it."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", GROUP_BYTES).parquet(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
     out.stored_at = path
     return out

@@ -46,8 +46,11 @@ def _planes(numbers: np.ndarray) -> list[bytes]:
     return [((numbers >> 8 * k) & 255).astype(np.uint8).tobytes() for k in range(width)]
 
 
-def _numbers(planes: list[bytes]) -> np.ndarray:
-    return sum((np.frombuffer(p, np.uint8).astype(np.int64) << 8 * k for k, p in enumerate(planes)), np.zeros(len(planes[0]), np.int64))
+def _numbers(planes: list[bytes], kind: type = np.int64) -> np.ndarray:
+    out = np.frombuffer(planes[0], np.uint8).astype(kind)
+    for k, plane in enumerate(planes[1:], 1):
+        out |= np.frombuffer(plane, np.uint8).astype(kind) << 8 * k
+    return out
 
 
 def ragged(values: np.ndarray, offsets: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -175,7 +178,7 @@ def word_values(
         # from the order of buckets to that of numbers
         where = np.empty(len(order), np.int64)
         where[order] = np.arange(len(order))
-        return finish(docs, np.array(counts, np.int64), _numbers(planes), ragged(by_bucket, start, where), np.r_[0, np.cumsum(size)])
+        return finish(docs, np.array(counts, np.int64), _numbers(planes, np.int32), ragged(by_bucket, start, where), np.r_[0, np.cumsum(size)])
 
     def back(answers: pa.Table, sent: pa.Table) -> pa.Table:
         parts = dict(zip(answers["part"].to_pylist(), answers["payload"].to_pylist(), strict=True))
