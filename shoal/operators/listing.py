@@ -98,10 +98,13 @@ def pages(entries: DataFrame, limit: int = MAX_KEYS):
         after = rows[0]["next_marker"]
 
 
-def latest(versions: DataFrame) -> DataFrame:
-    """The newest version of each key, without keys whose newest is a delete marker. One aggregation, no window."""
-    newest = F.max_by(F.struct("version_id", "last_modified", "size", "is_delete_marker"), F.struct("last_modified", F.col("version_id").cast("bigint")))
-    return versions.groupBy("key").agg(newest.alias("x")).where("not x.is_delete_marker").select("key", "x.version_id", "x.last_modified", "x.size")
+def latest(versions: DataFrame, *, of: list[str] | None = None) -> DataFrame:
+    """The newest version of each object, without objects whose newest is a delete marker. One aggregation, no window.
+
+    ``of``: the columns that tell objects apart, the key by default. Those that share a key, as where keys are padded to a width and longer ones are cut to it, have a row each.
+    """
+    newest = F.max_by(F.struct("key", "version_id", "last_modified", "size", "is_delete_marker"), F.struct("last_modified", F.col("version_id").cast("bigint")))
+    return versions.groupBy(*(of or ["key"])).agg(newest.alias("x")).where("not x.is_delete_marker").select("x.key", "x.version_id", "x.last_modified", "x.size")
 
 
 def versions_in_order(content: DataFrame, markers: DataFrame) -> DataFrame:

@@ -28,12 +28,12 @@ DUCKDB = {
 }
 
 
-def relation(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    """A derived relation, or one of the tables themselves."""
+def relation(spark: SparkSession, folder: str, name: str, *also: str) -> DataFrame:
+    """A derived relation, or one of the tables themselves. ``also``: columns of its table that a derived relation has besides its own."""
     if name not in _SPARK:
         return spark.read.parquet(f"{folder}/{name}.parquet")
     source = {"objects": "documents", "versions": "events", "notifications": "events", "uploads": "orders", "urls": "pages"}[name]
-    return spark.sql(_SPARK[name], **{source: spark.read.parquet(f"{folder}/{source}.parquet")})
+    return spark.sql(_SPARK[name].replace(" from {", "".join(f", {c}" for c in also) + " from {"), **{source: spark.read.parquet(f"{folder}/{source}.parquet")})
 
 
 def with_oracle(*names: str) -> str:
