@@ -21,8 +21,8 @@ from shoal.llm.arrowtext import give_back
 from shoal.llm.wordblocks import ragged, word_values
 
 _encoders: dict = {}
-#: Ids that one numpy pass decodes, and words whose ids one pass puts in place.
-IDS, PLACES = 500_000, 250_000
+#: Ids of a batch of decoded texts, bytes that one numpy pass decodes, and words whose ids one pass puts in place.
+IDS, PASS_BYTES, PLACES = 200_000, 250_000, 250_000
 _ENCODED = pa.schema([("doc", pa.int64()), ("ids", pa.list_(pa.int32()))])
 
 
@@ -90,6 +90,18 @@ def token_table(ranks: dict[bytes, int]) -> tuple[np.ndarray, np.ndarray]:
     return np.frombuffer(b"".join(by_id), np.uint8), np.r_[0, np.cumsum([len(x) for x in by_id])].astype(np.int64)
 
 
+def token_bytes(data: np.ndarray, offsets: np.ndarray, ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of all ids one after another, and where each id's begin. By passes of bounded size: one takes some thirty times its bytes on the way."""
+    ends = np.zeros(len(ids) + 1, np.int64)
+    np.cumsum((offsets[1:] - offsets[:-1])[ids], out=ends[1:])
+    out, at = np.empty(int(ends[-1]), np.uint8), 0
+    while at < len(ids):
+        upto = max(at + 1, int(np.searchsorted(ends, ends[at] + PASS_BYTES, "right")) - 1)
+        out[ends[at] : ends[upto]] = ragged(data, offsets, ids[at:upto])
+        at = upto
+    return out, ends
+
+
 def decode(df: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", decoded: str = "decoded", keep: list[str] | None = None) -> DataFrame:
     """Adds the bytes of each row's ids: joins every id with the token-byte table, which all tasks have. Null ids have no bytes; an unknown id is an error.
 
@@ -110,12 +122,12 @@ def decode(df: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", decoded:
             while at < batch.num_rows:
                 upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + IDS, "right")))
                 part = lists.slice(at, upto - at)
-                flat = part.flatten().to_numpy(zero_copy_only=False).astype(np.int64)
+                flat = part.flatten().to_numpy(zero_copy_only=False)
                 if len(flat) and (flat.min() < 0 or flat.max() >= len(offsets) - 1):
                     raise ValueError("an id isn't in the vocabulary")
-                size = np.r_[0, np.cumsum(offsets[flat + 1] - offsets[flat])]
-                rows = np.r_[0, size[np.cumsum(part.value_lengths().to_numpy(zero_copy_only=False))]].astype(np.int32)
-                joined = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(rows.tobytes()), pa.py_buffer(ragged(data, offsets, flat).tobytes())])
+                found, size = token_bytes(data, offsets, flat)
+                rows = size[np.r_[0, np.cumsum(part.value_lengths().to_numpy(zero_copy_only=False))]].astype(np.int32)
+                joined = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(rows), pa.py_buffer(found)])
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, upto - at) for c in batch.columns[: len(keep)]], joined], names=out.names)
                 at = upto
         give_back()
