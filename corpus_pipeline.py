@@ -5,6 +5,9 @@ Each stage takes the documents that its predecessor kept, and all but the last r
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import wraps
+
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,28 +15,46 @@ from pyspark.sql import functions as F
 from shoal.llm import bpe, decontaminate, queries, quality_model, secrets, similarity
 from shoal.llm.storage import stored
 from shoal.llm.tables import table
+from shoal.session import prepared
+
+Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
+
+
+def by_itself(stage: Stage) -> Stage:
+    """Also a stage that is run alone has the library's settings: without their bound of bytes, Arrow batches have 10,000 rows however long the texts are."""
+
+    @wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        return stage(prepared(spark), docs, sf_dir)
+
+    return run_stage
 
 
+@by_itself
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier, learned from the labelled ones outside the held-out fold, accepts."""
     return quality_model.accept(docs, queries.quality(spark, sf_dir, docs))
 
 
+@by_itself
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, that with the least id, of each group of near copies."""
     return similarity.first_of_each(docs).select(docs.columns)
 
 
+@by_itself
 def benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents without a notable share of benchmark passages."""
     return decontaminate.decontaminate(docs, table(spark, sf_dir, "benchmark"))
 
 
+@by_itself
 def secret(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, their secrets replaced by a mark, and their lengths as they are then."""
     return secrets.redact(docs).withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast("bigint"))).select(docs.columns)
 
 
+@by_itself
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of each text, and a digest of the bytes that they decode to."""
     ranks = bpe.read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken"))

@@ -109,16 +109,17 @@ def decode(df: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", decoded:
     """
     shared = df.sparkSession.sparkContext.broadcast(token_table(ranks))
     keep = [c for c in (df.columns if keep is None else keep) if c != decoded]
-    own = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], F.coalesce(F.col(f"`{ids}`"), F.array().cast("array<int>")).alias("i"))
+    own = df.select(*[F.col(f"`{c}`").alias(f"k{i}") for i, c in enumerate(keep)], *[F.col(f"`{ids}`").alias("i")][: ids not in keep])  # ids that stay are sent once
+    at_ids = keep.index(ids) if ids in keep else len(keep)
     out = T.StructType([*[own.schema[f"k{i}"] for i in range(len(keep))], T.StructField("b", T.BinaryType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         data, offsets = shared.value
         _encoders.clear()  # of a step before, in the same worker
         for batch in batches:
-            lists = batch.column(len(keep))
-            ends = np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))
-            at = 0
+            lists = batch.column(at_ids)
+            sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+            ends, at = np.cumsum(sizes), 0
             while at < batch.num_rows:
                 upto = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + IDS, "right")))
                 part = lists.slice(at, upto - at)
@@ -126,7 +127,7 @@ def decode(df: DataFrame, ranks: dict[bytes, int], *, ids: str = "ids", decoded:
                 if len(flat) and (flat.min() < 0 or flat.max() >= len(offsets) - 1):
                     raise ValueError("an id isn't in the vocabulary")
                 found, size = token_bytes(data, offsets, flat)
-                rows = size[np.r_[0, np.cumsum(part.value_lengths().to_numpy(zero_copy_only=False))]].astype(np.int32)
+                rows = size[np.r_[0, np.cumsum(sizes[at:upto])]].astype(np.int32)
                 joined = pa.Array.from_buffers(pa.binary(), len(part), [None, pa.py_buffer(rows), pa.py_buffer(found)])
                 yield pa.RecordBatch.from_arrays([*[c.slice(at, upto - at) for c in batch.columns[: len(keep)]], joined], names=out.names)
                 at = upto
